@@ -12,6 +12,8 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from touchline.catalog.scratch import scratch
+
 AS_OF = "2001-12-31"
 FIRST_SEASON, FIRST_DAY, LAST_DAY = 1995, "1995-03-01", "2001-06-30"
 PERF_SINCE = "1996-01-01"
@@ -47,10 +49,10 @@ FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey
 SQL["fx_season"] = f"""
 SELECT competition, season,
   CASE WHEN k % 151 = 0 THEN 'postponed'
-    WHEN k % 4 = 0 THEN concat(lpad(CAST(day(d) AS STRING), 2, '0'), '/', lpad(CAST(month(d) AS STRING), 2, '0'), '/', CAST(year(d) AS STRING))
-    WHEN k % 4 = 1 THEN concat(lpad(CAST(day(d) AS STRING), 2, '0'), '/', lpad(CAST(month(d) AS STRING), 2, '0'), '/', substr(CAST(year(d) AS STRING), 3, 2))
-    WHEN k % 4 = 2 THEN CAST(d AS STRING)
-    ELSE concat(CAST(day(d) AS STRING), '/', CAST(month(d) AS STRING), '/', CAST(year(d) AS STRING)) END AS date_raw,
+    WHEN k % 4 = 0 THEN concat(substr(d, 9, 2), '/', substr(d, 6, 2), '/', substr(d, 1, 4))
+    WHEN k % 4 = 1 THEN concat(substr(d, 9, 2), '/', substr(d, 6, 2), '/', substr(d, 3, 2))
+    WHEN k % 4 = 2 THEN d
+    ELSE concat(CAST(CAST(substr(d, 9, 2) AS INT) AS STRING), '/', CAST(CAST(substr(d, 6, 2) AS INT) AS STRING), '/', substr(d, 1, 4)) END AS date_raw,
   home_raw, away_raw,
   CASE WHEN k % 103 = 0 THEN 'abd' WHEN k % 107 = 0 THEN NULL ELSE CAST(hg AS STRING) END AS fthg,
   CAST(ag AS STRING) AS ftag,
@@ -63,7 +65,7 @@ SELECT competition, season,
 FROM (
   SELECT o_orderkey AS k, {_FEED_CODE.format(c='c_nationkey')} AS competition,
     CAST(year(o_orderdate) AS INT) AS season,
-    CAST(date_add(CAST(o_orderdate AS DATE), CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END) AS DATE) AS d,
+    CAST(CAST(date_add(CAST(o_orderdate AS DATE), CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END) AS DATE) AS STRING) AS d,
     concat('Team ', CAST(c_nationkey AS STRING)) AS home_raw,
     concat('Team ', CAST({_AWAY} AS STRING)) AS away_raw,
     {_HOME_GOALS} + CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS hg,
@@ -167,14 +169,29 @@ def tables_of(text: str) -> list[str]:
     return [name for _, name, _, _ in string.Formatter().parse(text) if name]
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture as DataFrame over the parquet tables of ``sf_dir``."""
+def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fixture computed from the parquet tables of ``sf_dir``."""
     text = SQL[name]
     sources = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(tables_of(text))}
     df = spark.sql(text, **sources)
-    if name == "fx_season":
-        df = df.withColumnsRenamed(SEASON_COLUMNS)
-    return df
+    return df.withColumnsRenamed(SEASON_COLUMNS) if name == "fx_season" else df
+
+
+_stored: dict[tuple, str] = {}
+
+
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fixture as a stored table, written below the shared checkpoint folder on first use.
+
+    The operators then read it as they read any landed table: pruned columns
+    and pushed filters, and none of the deriving arithmetic in their plans.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = scratch(spark, name)
+        derive(spark, sf_dir, name).write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
 
 
 SEASON_COLUMNS = {

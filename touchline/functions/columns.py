@@ -22,8 +22,8 @@ def to_double(c) -> Column:
 
 
 def to_int(c) -> Column:
-    """Whole number or NULL; accepts ``180`` and ``180.0``."""
-    return F.coalesce(col(c).try_cast("int"), F.bround(to_double(c), 0).try_cast("int"))
+    """Whole number or NULL; accepts ``180`` and ``180.0``. Exact, as a double holds every int."""
+    return F.bround(to_double(c), 0).try_cast("int")
 
 
 def to_long(c) -> Column:
@@ -38,18 +38,14 @@ def to_date(c) -> Column:
 def day_first_date(c) -> Column:
     """Day-first date with a four or two digit year, or an ISO date; else NULL.
 
-    Two-digit years from 69 on belong to the last century. The shape is tested
-    before parsing: a failed parse throws inside Spark, which costs far more.
+    Two-digit years from 69 on belong to the last century. The text is brought
+    to ISO order and cast once: a cast gives NULL where a failing parse by
+    format would throw inside Spark, and the column is named only once, so a
+    pushed-down filter stays small.
     """
-    def shaped(pattern, fmt):
-        return F.when(col(c).rlike(pattern), F.try_to_date(col(c), fmt))
-
-    short = shaped(r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy")
-    return F.coalesce(
-        shaped(r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-        F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short),
-        shaped(r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    )
+    text = F.regexp_replace(col(c), r"^(\d{1,2}/\d{1,2}/)([0-6]\d)$", "$120$2")
+    text = F.regexp_replace(text, r"^(\d{1,2}/\d{1,2}/)([7-9]\d|69)$", "$119$2")
+    return to_date(F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"))
 
 
 def season_start_year(path) -> Column:
