@@ -76,12 +76,13 @@ def player_rollup_weighted(performance: DataFrame) -> DataFrame:
 
 
 def _decimal_mean(name: str, digits: int):
-    """Mean of values already rounded to ``digits``, summed exactly.
+    """Mean of values already rounded to ``digits``, summed and divided exactly.
 
-    A sum of doubles depends on the order tasks finish in; a decimal sum does not.
+    A sum of doubles depends on the order tasks finish in, and a tie such as
+    1.3115 would round either way; decimals avoid both.
     """
-    exact = F.sum(F.col(name).cast(f"decimal(18,{digits})"))
-    return F.round(exact.cast("double") / F.nullif(F.count(name), F.lit(0)), digits)
+    total = F.sum(F.col(name).cast(f"decimal(18,{digits})"))
+    return F.round(total / F.nullif(F.count(name), F.lit(0)), digits).cast("double")
 
 
 def link_games(games: DataFrame, aliases: DataFrame, first_day=C.UNIFIED_SINCE) -> DataFrame:

@@ -100,13 +100,13 @@ def evaluation_mix(predictions: DataFrame) -> DataFrame:
     def share(label):
         return F.round(F.avg((F.col("evaluation") == label).cast("double")) * F.lit(100.0), 1)
 
-    gap = F.sum(F.col("difference_pct").cast("decimal(28,1)")).cast("double") / F.count("difference_pct")
+    gap = F.sum(F.col("difference_pct").cast("decimal(18,1)")) / F.nullif(F.count("difference_pct"), F.lit(0))
     return predictions.groupBy("position").agg(
         F.count("player_id").alias("nb_joueurs"),
         share(C.UNDER).alias("pct_sous_evalues"),
         share(C.FAIR).alias("pct_bien_evalues"),
         share(C.OVER).alias("pct_surevalues"),
-        F.round(gap, 1).alias("ecart_moyen_pct"),
+        F.round(gap, 1).cast("double").alias("ecart_moyen_pct"),
     ).orderBy(F.col("pct_sous_evalues").desc(), "position")
 
 

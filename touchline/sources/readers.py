@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +46,21 @@ _SEASON_PATH = r"(?:^|/)(?:\w+=)?({leagues})/(?:\w+=)?(season-(\d\d)\d\d)\.csv"
 
 def _season_files(spark: SparkSession, root: str) -> list[str]:
     listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(root)
-    return [r[0] for r in listing.select("path").collect()]  # names only, no content
+    return sorted(unquote(r[0]) for r in listing.select("path").collect())  # names only, no content
+
+
+def _headers(spark: SparkSession, files: list[str]) -> dict[str, tuple]:
+    """Header fields of a few files, found in one job: a header names both teams."""
+    if not files:
+        return {}
+    lines = spark.read.text(files).select(
+        F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at")
+    )
+    found = lines.filter(F.col("value").contains("HomeTeam") & F.col("value").contains("AwayTeam"))
+    first = found.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return {
+        unquote(r["path"]): tuple(next(csv.reader([r["line"].strip("\ufeff\r")]))) for r in first.collect()
+    }
 
 
 def read_season_csv(spark: SparkSession, root: str, first_season: int = C.FIRST_SEASON) -> DataFrame:
@@ -64,8 +80,9 @@ def read_season_csv(spark: SparkSession, root: str, first_season: int = C.FIRST_
                 seasons.setdefault(path[: hit.end()], []).append(path)
 
     layouts: dict[tuple, list[str]] = {}
+    headers = _headers(spark, [files[0] for files in seasons.values()])
     for files in seasons.values():
-        header = tuple(spark.read.option("header", True).csv(files[0]).columns)
+        header = headers.get(files[0], ())
         if "HomeTeam" in header:
             layouts.setdefault(header, []).extend(files)
 
