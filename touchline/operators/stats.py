@@ -56,7 +56,10 @@ def describe(df: DataFrame, column: str, digits: int = 1, bins: int = 4096) -> D
     """
     v = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    limits = counts.agg(F.sum("n").alias("total"), F.min("v").alias("low"), F.max("v").alias("high"))
+    limits = counts.agg(
+        F.sum("n").alias("total"), F.min("v").alias("low"), F.max("v").alias("high"),
+        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+    )
     position = F.floor((F.col("v") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)) * bins)
     # limits is one row
     binned = counts.join(F.broadcast(limits)).withColumn("bin", F.coalesce(position, F.lit(0).cast("bigint")))
@@ -86,13 +89,13 @@ def describe(df: DataFrame, column: str, digits: int = 1, bins: int = 4096) -> D
     quartiles = hit.agg(*[
         F.round(F.sum(F.when(F.col("name") == q, F.col("v") * share)), digits).alias(q) for q in ("q25", "q50", "q75")
     ])
-    basic = counts.agg(
-        F.sum("n").alias("n"),
-        F.round(F.sum(F.col("v") * F.col("n")) / F.sum("n"), digits).alias("mean"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
+    gap = F.col("v") - F.col("mean")
+    spread = F.sum(gap * gap * F.col("n")) / F.nullif(F.max("total") - 1, F.lit(0))
+    basic = binned.agg(
+        F.max("total").alias("n"), F.round(F.max("mean"), digits).alias("mean"),
+        F.round(F.sqrt(spread), digits).alias("std"), F.max("low").alias("min"), F.max("high").alias("max"),
     )
-    spread = v.agg(F.round(F.stddev_samp("v"), digits).alias("std"))
-    return basic.join(F.broadcast(spread)).join(F.broadcast(quartiles))
+    return basic.join(F.broadcast(quartiles))  # one row each
 
 
 def evaluation_mix(predictions: DataFrame) -> DataFrame:
