@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline import constants as C
+from touchline.catalog import fixtures as fx
 from touchline.catalog import player_queries as pq
 from touchline.catalog.registry import query
 from touchline.catalog.scratch import scratch
 from touchline.operators import features, models, quality, reports, stats
 from touchline.plans import projection as plan
-from touchline.catalog import fixtures as fx
+from touchline.sources import writers
 
 _fitted: dict[tuple, tuple] = {}
 
@@ -24,8 +25,21 @@ def fitted(spark, sf):
     return _fitted[key]
 
 
+_stored: dict[tuple, str] = {}
+
+
+def stored_temporal(spark, sf):
+    """The period features as a stored mart, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stored:
+        path = scratch(spark, "features_temporal")
+        writers.replace_table(pq.temporal(spark, sf), path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
 def temporal_rows(spark, sf):
-    df, _ = features.with_dummies(pq.temporal(spark, sf))
+    df, _ = features.with_dummies(stored_temporal(spark, sf))
     names = [*C.TEMPORAL_FEATURES, *[c for c in df.columns if c.startswith(("pos_", "foot_", "nat_"))]]
     return models.assembled(df.na.drop(subset=names), names, "market_value_t1", "player_id", "position", "market_value_t1"), names
 

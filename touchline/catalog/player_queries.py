@@ -447,8 +447,9 @@ _FEET = ["both", "left", "right"]
 @query("one_hot_players", "FE-1", f"SELECT player_id, {_dummies('position', 'pos', _POSITIONS)}, {_dummies('foot', 'foot', _FEET)} FROM q_players")
 def _(spark, sf):
     df = players(spark, sf).select("player_id", "position", "foot")
+    values = features.vocabularies(df, ["position", "foot"])
     for column, prefix in (("position", "pos"), ("foot", "foot")):
-        df = features.one_hot(df, column, prefix, features.vocabulary(df, column))
+        df = features.one_hot(df, column, prefix, values[column])
     return df.drop("position", "foot")
 
 
@@ -491,8 +492,7 @@ SELECT prefix, value, n FROM (
 def _(spark, sf):
     """Every 0/1 column of the feature table, added up."""
     df, vocabularies = features.with_dummies(features.market_value_features(players(spark, sf), performance(spark, sf)))
-    prefixes = {"position": "pos", "foot": "foot", "nationality_group": "nat"}
-    columns = [(prefixes[c], v) for c, values in vocabularies.items() for v in values]
+    columns = [(features.PREFIXES[c], v) for c, values in vocabularies.items() for v in values]
     sums = df.agg(*[F.sum(f"`{p}_{v}`").alias(f"s{i}") for i, (p, v) in enumerate(columns)])
     rows = F.array(*[F.struct(F.lit(p).alias("prefix"), F.lit(v).alias("value"), F.col(f"s{i}").alias("n"))
                      for i, (p, v) in enumerate(columns)])

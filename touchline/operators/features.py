@@ -16,14 +16,17 @@ from touchline.operators.players import club_values, latest_by
 MAX_CATEGORIES = 1000
 
 
-def vocabulary(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct values of a categorical column, read once to fix the
-    columns of train and score alike; refuses a column that is not categorical.
+def vocabularies(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """Sorted distinct values of categorical columns, read in one pass to fix the
+    0/1 columns of train and score alike; refuses a column that is not categorical.
     """
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; group it first")
-    return sorted(r[0] for r in rows)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns]))
+    rows = df.select(pairs.alias("p")).select("p.*").filter("v IS NOT NULL").distinct()
+    found = rows.limit(limit * len(columns) + 1).collect()
+    out = {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
+    if len(found) > limit * len(columns) or any(len(v) > limit for v in out.values()):
+        raise ValueError(f"more than {limit} values in one of {list(columns)}; group it first")
+    return out
 
 
 def one_hot(df: DataFrame, column: str, prefix: str, values: Sequence[str]) -> DataFrame:
@@ -128,16 +131,18 @@ def with_groups(df: DataFrame, country: str, n: int = 20) -> DataFrame:
     return clean.fill(df, {"international_caps": 0, "international_goals": 0})
 
 
-def with_dummies(df: DataFrame, vocabularies: dict[str, Sequence[str]] | None = None) -> tuple[DataFrame, dict]:
+PREFIXES = {"position": "pos", "foot": "foot", "nationality_group": "nat"}
+
+
+def with_dummies(df: DataFrame, values: dict[str, Sequence[str]] | None = None) -> tuple[DataFrame, dict]:
     """Position, foot and nationality as 0/1 columns, and the vocabularies used.
 
     Pass the vocabularies of the training run when scoring.
     """
-    prefixes = {"position": "pos", "foot": "foot", "nationality_group": "nat"}
-    vocabularies = vocabularies or {c: vocabulary(df, c) for c in prefixes}
-    for column, prefix in prefixes.items():
-        df = one_hot(df, column, prefix, vocabularies[column])
-    return df, vocabularies
+    values = values or vocabularies(df, list(PREFIXES))
+    for column, prefix in PREFIXES.items():
+        df = one_hot(df, column, prefix, values[column])
+    return df, values
 
 
 def temporal_features(valuations, appearances, players, first_day=C.TEMPORAL_SINCE, last_season=C.ACTIVE_SINCE_SEASON) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
@@ -58,7 +60,7 @@ def boosted_trees(spark: SparkSession, trees: int = C.GBT_TREES, depth: int = C.
     ensure_checkpoint_dir(spark)
     return GBTRegressor(
         featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=rate,
-        seed=C.SEED, checkpointInterval=10, cacheNodeIds=True,
+        seed=C.SEED, checkpointInterval=10,
     )
 
 
@@ -101,11 +103,13 @@ def train_projection(
     features: Sequence[str] = tuple(C.PROJECTION_FEATURES),
     trees: int = C.GBT_TREES,
     min_rows: int = C.MIN_ROWS_PER_POSITION,
+    parallelism: int = 6,
 ) -> Projection:
     """One model over all players, and one per position with enough rows.
 
     The prepared rows (one per player) are written to the checkpoint folder
-    once: every tree of every model reads them again.
+    once: every tree of every model reads them again. Boosting runs one small
+    job after the other, so the models are fitted side by side.
     """
     spark = dataset.sparkSession
     ensure_checkpoint_dir(spark)
@@ -114,17 +118,17 @@ def train_projection(
 
     # four positions; the limit guards against a column that is none
     sizes = rows.groupBy("position").count().orderBy("position").limit(100).collect()
-    total = sum(r["count"] for r in sizes)
-    model, r2, mae = _fit_and_measure(rows, boosted_trees(spark, trees))
-    out = Projection(model, {}, encoders, list(features), [("global", total, r2, mae)])
-    for position, n in sizes:
-        if n < min_rows:
-            continue
-        own = rows.filter(F.col("position") == position)
-        model, r2, mae = _fit_and_measure(own, boosted_trees(spark, trees))
-        out.by_position[position] = model
-        out.metrics.append((position, n, r2, mae))
-    return out
+    scopes = [("global", sum(r["count"] for r in sizes), rows)]
+    scopes += [(p, n, rows.filter(F.col("position") == p)) for p, n in sizes if n >= min_rows]
+
+    def fit(part: DataFrame):
+        return _fit_and_measure(part, boosted_trees(spark, trees))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        fits = list(pool.map(inheritable_thread_target(fit), [part for _, _, part in scopes]))
+    metrics = [(scope, n, r2, mae) for (scope, n, _), (_, r2, mae) in zip(scopes, fits)]
+    by_position = {scope: model for (scope, _, _), (model, _, _) in zip(scopes[1:], fits[1:])}
+    return Projection(fits[0][0], by_position, encoders, list(features), metrics)
 
 
 def score_projection(candidates: DataFrame, projection: Projection) -> DataFrame:
@@ -196,12 +200,12 @@ def compare_models(rows: DataFrame, stages: Mapping[str, list]) -> tuple[str, Pi
     return best, results[best][0], table
 
 
-def cross_validate(rows: DataFrame, estimator, folds: int = 5) -> DataFrame:
+def cross_validate(rows: DataFrame, estimator, folds: int = 5, parallelism: int = 5) -> DataFrame:
     """Mean and spread of R² over the folds, and whether the spread is small."""
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=RegressionEvaluator(labelCol="label", metricName="r2"),
-        numFolds=folds, seed=C.SEED, parallelism=1,
+        numFolds=folds, seed=C.SEED, parallelism=parallelism,
     ).fit(rows)
     mean, std = float(cv.avgMetrics[0]), float(cv.stdMetrics[0])
     return rows.sparkSession.createDataFrame(
