@@ -43,8 +43,8 @@ def day_first_date(c) -> Column:
     format would throw inside Spark, and the column is named only once, so a
     pushed-down filter stays small.
     """
-    text = F.regexp_replace(col(c), r"^(\d{1,2}/\d{1,2}/)([0-6]\d)$", "$120$2")
-    text = F.regexp_replace(text, r"^(\d{1,2}/\d{1,2}/)([7-9]\d|69)$", "$119$2")
+    text = F.regexp_replace(col(c), r"^(\d{1,2}/\d{1,2}/)([0-5]\d|6[0-8])$", "$120$2")
+    text = F.regexp_replace(text, r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)$", "$119$2")
     return to_date(F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"))
 
 

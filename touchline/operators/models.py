@@ -125,7 +125,7 @@ def train_projection(
         return _fit_and_measure(part, boosted_trees(spark, trees))
 
     with ThreadPoolExecutor(parallelism) as pool:
-        fits = list(pool.map(inheritable_thread_target(fit), [part for _, _, part in scopes]))
+        fits = list(pool.map(inheritable_thread_target(spark)(fit), [part for _, _, part in scopes]))
     metrics = [(scope, n, r2, mae) for (scope, n, _), (_, r2, mae) in zip(scopes, fits)]
     by_position = {scope: model for (scope, _, _), (model, _, _) in zip(scopes[1:], fits[1:])}
     return Projection(fits[0][0], by_position, encoders, list(features), metrics)

@@ -22,10 +22,8 @@ def check_required_columns(df: DataFrame, required: Sequence[str], name: str) ->
 
 def check_volume_ratio(new: DataFrame, old: DataFrame, name: str, warn: float = 0.90, block: float = 0.30) -> DataFrame:
     """New against previous row count: ``refused``, ``warning``, ``ok``, or ``first``."""
-    def rows(df, out):
-        return df.agg(F.count(F.lit(1)).alias(out))
-
-    both = rows(new, "n_new").join(F.broadcast(rows(old, "n_old")))  # one row each
+    both = new.select(F.lit(True).alias("is_new")).union(old.select(F.lit(False)))
+    both = both.agg(F.count_if("is_new").alias("n_new"), F.count_if(~F.col("is_new")).alias("n_old"))
     ratio = F.col("n_new") / F.nullif(F.col("n_old"), F.lit(0))
     return both.select(F.lit(name).alias("table"), "n_new", "n_old", F.round(ratio, 4).alias("ratio"),
         F.when(F.col("n_old") == 0, "first").when(ratio < block, "refused")

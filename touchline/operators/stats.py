@@ -56,13 +56,13 @@ def describe(df: DataFrame, column: str, digits: int = 1, bins: int = 4096) -> D
     """
     v = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    limits = counts.agg(
+    limits = counts.agg(F.struct(
         F.sum("n").alias("total"), F.min("v").alias("low"), F.max("v").alias("high"),
         (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
-    )
+    ).alias("limits"))
+    binned = counts.withColumn("limits", limits.scalar()).select("v", "n", "limits.*")
     position = F.floor((F.col("v") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)) * bins)
-    # limits is one row
-    binned = counts.join(F.broadcast(limits)).withColumn("bin", F.coalesce(position, F.lit(0).cast("bigint")))
+    binned = binned.withColumn("bin", F.coalesce(position, F.lit(0).cast("bigint")))
 
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     per_bin = binned.groupBy("bin").agg(F.sum("n").alias("bin_n"), F.max("total").alias("total"))
@@ -86,16 +86,16 @@ def describe(df: DataFrame, column: str, digits: int = 1, bins: int = 4096) -> D
         & (F.col("rank") >= F.col("before") + F.col("last") - F.col("n"))
     )
     share = F.lit(1.0) - F.abs(F.col("at") - F.col("rank"))
-    quartiles = hit.agg(*[
+    quartiles = hit.agg(F.struct(*[
         F.round(F.sum(F.when(F.col("name") == q, F.col("v") * share)), digits).alias(q) for q in ("q25", "q50", "q75")
-    ])
+    ]))
     gap = F.col("v") - F.col("mean")
     spread = F.sum(gap * gap * F.col("n")) / F.nullif(F.max("total") - 1, F.lit(0))
     basic = binned.agg(
         F.max("total").alias("n"), F.round(F.max("mean"), digits).alias("mean"),
         F.round(F.sqrt(spread), digits).alias("std"), F.max("low").alias("min"), F.max("high").alias("max"),
     )
-    return basic.join(F.broadcast(quartiles))  # one row each
+    return basic.withColumn("quartiles", quartiles.scalar()).select(*basic.columns, "quartiles.*")
 
 
 def evaluation_mix(predictions: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ def paired_t_test(df: DataFrame, a: str = "home_goals", b: str = "away_goals", a
     """Paired t-test of two columns and the share of rows where ``a`` is larger.
 
     The two-sided p-value maps t to a normal deviate for its degrees of freedom
-    (Abramowitz and Stegun 26.7.8); from some 30 rows on it is good to 1e-4.
+    (Wallace 1959), which is close from ten rows on and exact in the limit.
     """
     d = col(a) - col(b)
     pairs = df.filter(col(a).isNotNull() & col(b).isNotNull())
@@ -138,7 +138,7 @@ def paired_t_test(df: DataFrame, a: str = "home_goals", b: str = "away_goals", a
     )
     t = F.col("gap") / F.nullif(F.col("sd") / F.sqrt("n"), F.lit(0.0))
     df_ = F.col("n") - F.lit(1)
-    z = F.abs(t) * (F.lit(1.0) - F.lit(0.25) / df_) / F.sqrt(F.lit(1.0) + t * t / (F.lit(2.0) * df_))
+    z = (df_ * 8 + 1) / (df_ * 8 + 3) * F.sqrt(df_ * F.log1p(t * t / df_))
     return base.select(
         "n", F.round("mean_a", 3).alias("mean_a"), F.round("mean_b", 3).alias("mean_b"),
         F.round("gap", 3).alias("gap"), F.round(t, 4).alias("t_stat"),
