@@ -23,11 +23,11 @@ def to_double(c) -> Column:
 
 def to_int(c) -> Column:
     """Whole number or NULL; accepts ``180`` and ``180.0``. Exact, as a double holds every int."""
-    return F.bround(to_double(c), 0).try_cast("int")
+    return F.rint(to_double(c)).try_cast("int")
 
 
 def to_long(c) -> Column:
-    return F.coalesce(col(c).try_cast("bigint"), F.bround(to_double(c), 0).try_cast("bigint"))
+    return F.coalesce(col(c).try_cast("bigint"), F.rint(to_double(c)).try_cast("bigint"))
 
 
 def to_date(c) -> Column:
@@ -38,14 +38,17 @@ def to_date(c) -> Column:
 def day_first_date(c) -> Column:
     """Day-first date with a four or two digit year, or an ISO date; else NULL.
 
-    Two-digit years from 69 on belong to the last century. The text is brought
-    to ISO order and cast once: a cast gives NULL where a failing parse by
-    format would throw inside Spark, and the column is named only once, so a
-    pushed-down filter stays small.
+    Two-digit years from 69 on belong to the last century. The parts are put in
+    ISO order and cast once: a cast gives NULL where a failing parse by format
+    would throw inside Spark, and cutting at slashes is cheaper than patterns.
     """
-    text = F.regexp_replace(col(c), r"^(\d{1,2}/\d{1,2}/)([0-5]\d|6[0-8])$", "$120$2")
-    text = F.regexp_replace(text, r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)$", "$119$2")
-    return to_date(F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"))
+    day, year = F.substring_index(col(c), "/", 1), F.substring_index(col(c), "/", -1)
+    month = F.substring_index(F.substring_index(col(c), "/", 2), "/", -1)
+    century = F.when(F.length(year) != 2, "").when(year >= "69", "19").otherwise("20")
+    iso = F.concat(century, year, F.lit("-"), month, F.lit("-"), day)
+    slashed = F.contains(col(c), F.lit("/"))
+    three = F.substring_index(col(c), "/", 3) == col(c)
+    return to_date(F.when(~slashed, col(c)).when(three, iso))
 
 
 def season_start_year(path) -> Column:
@@ -199,7 +202,7 @@ def opportunity(pct) -> Column:
 
 def peak_age_min(age) -> Column:
     """Youngest age of the peak band, rounded half to even."""
-    return F.bround(F.lit(24.0) - (col(age) - 14) * F.lit(2.0) / F.lit(7.0), 0).cast("int")
+    return F.rint(F.lit(24.0) - (col(age) - 14) * F.lit(2.0) / F.lit(7.0)).cast("int")
 
 
 def peak_age_max(age) -> Column:
