@@ -83,17 +83,13 @@ def projection_candidates(youth: DataFrame, players: DataFrame, as_of) -> DataFr
 
 
 
-def period_rows(
-    valuations: DataFrame,
-    appearances: DataFrame,
-    players: DataFrame,
-    first_day=C.TEMPORAL_SINCE,
-    last_season: int = C.ACTIVE_SINCE_SEASON,
+def kept_periods(
+    valuations: DataFrame, players: DataFrame, first_day=C.TEMPORAL_SINCE, last_season: int = C.ACTIVE_SINCE_SEASON
 ) -> DataFrame:
-    """One row per kept period of an active player, with what was played in it.
+    """Periods of active players, of plausible length, value change and age.
 
-    Length and value change are checked on the bare periods, before any
-    appearance is attached, so dropped periods cost no join.
+    Everything is checked on the bare periods, before any appearance is
+    attached, so a dropped period costs no join.
     """
     valued = clean.since(valuations, first_day).filter("market_value_in_eur > 0")
     pairs = consecutive_pairs(valued).withColumns({
@@ -102,19 +98,20 @@ def period_rows(
         "delta_pct": X.delta_pct("v0", "v1"),
     })
     pairs = clean.between(pairs, {"duree_jours": (7, 1100), "delta_pct": (-90, 500)})
-
     active = clean.active_players(clean.known_position(players), last_season).select(
         "player_id", "position", "foot", F.col("country_of_citizenship").alias("country"),
         "international_caps", "international_goals", "date_of_birth",
     )
     rows = pairs.join(active, "player_id").withColumn("age_a_t1", X.age_decimal("date_of_birth", "t1", 2))
-    rows = clean.between(rows, {"age_a_t1": (15, 45)}).drop("date_of_birth")
+    return clean.between(rows, {"age_a_t1": (15, 45)}).drop("date_of_birth")
 
-    played = clean.played_only(appearances, first_day)
-    rows = interval_join(played, rows, {
+
+def played_in(periods: DataFrame, appearances: DataFrame, first_day=C.TEMPORAL_SINCE) -> DataFrame:
+    """Kept periods with what their player did in each."""
+    rows = interval_join(clean.played_only(appearances, first_day), periods, {
         "goals": "buts_periode", "assists": "assists_periode", "minutes_played": "minutes_periode",
         "yellow_cards": "cartons_j_periode", "red_cards": "cartons_r_periode",
-    }, count="matchs_periode")
+    }, count="matchs_periode", empty_periods=False)
     return rows.withColumns({
         "goals_per_90": X.per90_or_zero("buts_periode", "minutes_periode", 3),
         "assists_per_90": X.per90_or_zero("assists_periode", "minutes_periode", 3),
@@ -145,9 +142,20 @@ def with_dummies(df: DataFrame, values: dict[str, Sequence[str]] | None = None)
     return df, values
 
 
-def temporal_features(valuations, appearances, players, first_day=C.TEMPORAL_SINCE, last_season=C.ACTIVE_SINCE_SEASON) -> DataFrame:
-    """Period rows with nationality group; see :func:`with_dummies` for the 0/1 columns."""
-    return with_groups(period_rows(valuations, appearances, players, first_day, last_season), "country")
+def temporal_features(
+    valuations: DataFrame,
+    appearances: DataFrame,
+    players: DataFrame,
+    first_day=C.TEMPORAL_SINCE,
+    last_season: int = C.ACTIVE_SINCE_SEASON,
+) -> DataFrame:
+    """One row per kept period; see :func:`with_dummies` for the 0/1 columns.
+
+    The nationality groups are counted on the bare periods, which the
+    appearances neither add to nor take from.
+    """
+    periods = with_groups(kept_periods(valuations, players, first_day, last_season), "country")
+    return played_in(periods, appearances, first_day)
 
 
 def market_value_features(players: DataFrame, performance: DataFrame) -> DataFrame:

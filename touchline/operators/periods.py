@@ -55,27 +55,43 @@ def interval_join(
     count: str = "n_points",
     key: str = "player_id",
     ts: str = "date",
+    empty_periods: bool = True,
 ) -> DataFrame:
     """Periods with the sums of the points in ``[t0, t1)``; zeros when empty.
 
-    Periods of one key must not overlap. Points are summed per key and day,
-    laid beside the period starts on one time line, and each takes the last
-    start seen: linear in the input, no pair of point and period is formed.
-    Points before the first start, or in a gap, belong to no period.
+    Periods of one key must not overlap. Points are summed per key and day and
+    laid on one time line with the starts and ends of the periods. A running
+    total over the line, taken at both ends of a period, gives its sums: linear
+    in the input, with one shuffle, and no pair of point and period is formed.
+    On one day an end comes first, then a start, then the points.
+
+    Pass ``empty_periods=False`` when none has zero length: they may be many
+    for one key, so they bypass the line in a branch of their own.
     """
+    names = [count, *sums.values()]
     per_day = points.groupBy(key, ts).agg(
         F.count(F.lit(1)).alias(count), *[F.sum(c).alias(out) for c, out in sums.items()]
     )
-    names = [count, *sums.values()]
-    starts = periods.filter(F.col("t0") < F.col("t1")).select(key, F.col("t0").alias(ts), "t0", "t1").distinct()
-    line = starts.withColumn("kind", F.lit(0)).unionByName(
-        per_day.withColumn("kind", F.lit(1)), allowMissingColumns=True
+    end, start, point = 0, 1, 2
+    columns = [c for c in periods.columns if c != key]
+    marks = F.explode(F.array(
+        F.struct(F.col("t0").alias("at"), F.lit(start).alias("kind"), F.struct(*columns).alias("period")),
+        F.struct(F.col("t1").alias("at"), F.lit(end).alias("kind"), F.lit(None).alias("period")),
+    ))
+    line = periods.filter(F.col("t0") < F.col("t1")).select(key, marks.alias("m")).select(key, "m.*").unionByName(
+        per_day.withColumnRenamed(ts, "at").withColumn("kind", F.lit(point)), allowMissingColumns=True
+    )
+    upwards = Window.partitionBy(key).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    downwards = Window.partitionBy(key).orderBy(F.desc("at"), F.desc("kind")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    so_far = Window.partitionBy(key).orderBy(ts, "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    owned = line.withColumn("own", F.last(F.when(F.col("kind") == 0, F.struct("t0", "t1")), ignorenulls=True).over(so_far))
-    filled = (
-        owned.filter((F.col("kind") == 1) & (F.col(ts) < F.col("own.t1")))
-        .groupBy(key, F.col("own.t0").alias("t0"), F.col("own.t1").alias("t1"))
-        .agg(*[F.sum(c).alias(c) for c in names])
+    totals = F.struct(*[F.coalesce(F.sum(c).over(upwards), F.lit(0)).alias(c) for c in names])
+    ends = line.select(key, "at", "kind", "period", totals.alias("total")).filter(F.col("kind") != point)
+    next_end = F.last(F.when(F.col("kind") == end, F.col("total")), ignorenulls=True).over(downwards)
+    filled = ends.withColumn("upto", next_end).filter(F.col("kind") == start).select(
+        key, "period.*", *[(F.col(f"upto.{c}") - F.col(f"total.{c}")).alias(c) for c in names]
     )
-    return periods.join(filled, [key, "t0", "t1"], "left").na.fill(0, names)
+    if not empty_periods:
+        return filled
+    empty = periods.filter(F.col("t0") == F.col("t1"))
+    return filled.unionByName(empty.withColumns({c: F.lit(0).cast("bigint") for c in names}))
