@@ -4,8 +4,10 @@ import __spark_entry__ as entry
 import pytest
 from compare import difference
 from pyspark.sql import DataFrame
+from touchline.catalog import QUERIES as OWN
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: run for name, run in entry.queries().items() if name in OWN}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
 SLOW = {"projection_metrics", "projection_scores", "projection_importances", "scouting_report", "reloaded_projection",
         "model_gate", "compared_models"}  # covered with few trees in test_models
 
