@@ -6,11 +6,11 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, sampling, tokens, urls
-from touchline.llm.common import table
+from touchline.llm import chat, sampling, substrings, tokens, urls
+from touchline.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -63,6 +63,28 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def joined_words(text: Column) -> Column:
+    """Words of a text joined by one space."""
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+s AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i + 19 <= len(w) THEN array_to_string(w[i:i + 19], ' ') END AS key FROM p),
+g AS (SELECT key, min(struct_pack(d := doc_id, i := i)) AS first FROM s WHERE key IS NOT NULL GROUP BY key),
+f AS (SELECT s.doc_id, s.i, s.word, g.first IS NOT NULL AND g.first <> struct_pack(d := s.doc_id, i := s.i) AS again FROM s LEFT JOIN g USING (key)),
+r AS (SELECT doc_id, i, word, max(CASE WHEN again THEN 1 ELSE 0 END) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM f),
+a AS (SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(CASE WHEN gone = 0 THEN word END, ' ' ORDER BY i) AS kept FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN a USING (doc_id)
+""")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(joined_words(F.col("text")), 256).alias("kept_sha256"))
+
+
 @query()
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
