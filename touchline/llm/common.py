@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +36,6 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def rows_of(batch: pa.RecordBatch, schema: pa.Schema, columns: dict) -> pa.RecordBatch:
-    """An Arrow batch of ``schema`` from numpy arrays or lists by column."""
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
-
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge list: ``node``, ``component`` (its smallest node).
 
@@ -64,8 +58,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
         )).alias("e")).select("e.*").filter("u <> v").distinct()
         pairs = stored(small, "edges")
-        now = pairs.agg(F.count("u"), F.sum("v"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        now = pairs.agg(F.count("u"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if now == before or now[0] == 0:
             break
         before = now
     return (pairs.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
@@ -99,6 +93,3 @@ def _forest(pairs: DataFrame) -> DataFrame:
 
     return pairs.select(F.col("u").cast("bigint"), F.col("v").cast("bigint")).mapInArrow(stars, "u bigint, v bigint")
 
-
-def distinct_sorted(x: np.ndarray) -> np.ndarray:
-    return np.unique(x)
