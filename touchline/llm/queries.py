@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, sampling, simhash, substrings, tokens, urls
+from touchline.llm import chat, decontamination, sampling, simhash, substrings, tokens, urls
 from touchline.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,34 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+l AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+s AS (SELECT item, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM l),
+p AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS key FROM s),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+x AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p) sizes WHERE len(w) >= n),
+k AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS key FROM x),
+h AS (SELECT doc_id, item, n, i FROM k JOIN p USING (n, key)),
+c AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM h) words GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) pairs GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+""")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["first"])
+    return out.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
 def joined_words(text: Column) -> Column:
     """Words of a text joined by one space."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from touchline.llm.common import stored
 from touchline.llm.packing import one_batch, pack_planes, pack_sorted, per_block, to_blocks, unpack_planes, unpack_sorted
-from touchline.llm.words import Words, find_words, mix, run_hashes, window_starts, word_hashes
+from touchline.llm.words import Words, cut_words, find_words, flagged_spans, mix, run_hashes, span_column, window_starts, word_hashes
 
 ROWS = 2  # of the sketch
 PAGE_BITS = 21  # cells of a page
@@ -187,30 +187,6 @@ def _removed_words(row: dict, c: dict, n: int, bits: int) -> np.ndarray:
     return np.cumsum(cover)[:-1] > 0
 
 
-def cut_words(w: Words, gone: np.ndarray, texts: pa.Array) -> tuple[list, list]:
-    """Texts without the flagged words, and the flagged stretches (first word, last word + 1) of each text.
-
-    A cut reaches to the next kept word, so what stays keeps its own spacing.
-    """
-    out, spans = texts.to_pylist(), [[] for _ in range(len(texts))]
-    edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-    raw = w.buf
-    for a, b in zip(edge[::2], edge[1::2]):
-        while a < b:  # a stretch of flags may run over the end of a text
-            r = w.row[a]
-            stop = min(b, w.first[r + 1])
-            spans[r].append((int(a - w.first[r]), int(stop - w.first[r])))
-            a = stop
-    for r in (r for r, s in enumerate(spans) if s):
-        base, keep, at = w.first[r], [], int(w.offsets[r])
-        for a, b in spans[r]:
-            keep.append(raw[at:w.start[base + a]])
-            at = int(w.start[base + b]) if base + b < w.first[r + 1] else int(w.offsets[r + 1])
-        keep.append(raw[at:w.offsets[r + 1]])
-        out[r] = np.concatenate(keep).tobytes().decode("utf-8")
-    return out, spans
-
-
 ADDED = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
     T.StructField("removed", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("stop", T.LongType())]))),
@@ -262,13 +238,13 @@ def remove_repeats(docs: DataFrame, n: int = 20, text: str = "text", doc_id: str
         c = _candidates(row, sketch, at, key, n)
         batch, w = c["batch"], c["words"]
         gone = _removed_words(row, c, n, bits)
-        texts, spans = cut_words(w, gone, batch.column(at))
+        spans = flagged_spans(w, gone)
+        texts = cut_words(w, spans, batch.column(at))
         columns = [pa.array(texts, batch.column(at).type) if k == at else batch.column(k) for k in range(batch.num_columns)]
         n_gone = [sum(b - a for a, b in s) for s in spans]
-        pairs = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
         full = pa.RecordBatch.from_arrays(
-            [*columns, pa.array(np.diff(w.first), pa.int64()), pa.array(n_gone, pa.int64()),
-             pa.array([[{"first": a, "stop": b} for a, b in s] for s in spans], pairs)], names=[*kept, *ADDED.names])
+            [*columns, pa.array(np.diff(w.first), pa.int64()), pa.array(n_gone, pa.int64()), span_column(spans)],
+            names=[*kept, *ADDED.names])
         for i in range(0, full.num_rows, 1024):
             yield full.slice(i, 1024)
 

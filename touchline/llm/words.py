@@ -138,3 +138,41 @@ def window_starts(w: Words, n: int) -> np.ndarray:
     per_text = np.diff(w.first)
     starts = np.arange(len(w.start))
     return starts[starts + n <= np.repeat(w.first[1:], per_text)]
+
+
+def flagged_spans(w: Words, flag: np.ndarray) -> list[list[tuple[int, int]]]:
+    """For each text the stretches (first word, last word + 1) of flagged words."""
+    spans: list[list[tuple[int, int]]] = [[] for _ in range(len(w.first) - 1)]
+    edge = np.flatnonzero(np.diff(flag.astype(np.int8), prepend=0, append=0))
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+        while a < b:  # a stretch of flags may run over the end of a text
+            r = int(w.row[a])
+            base, stop = int(w.first[r]), min(b, int(w.first[r + 1]))
+            spans[r].append((a - base, stop - base))
+            a = stop
+    return spans
+
+
+def cut_words(w: Words, spans: list[list[tuple[int, int]]], texts: pa.Array) -> list[str | None]:
+    """Texts without the given stretches of words.
+
+    A cut reaches to the next kept word, so what stays keeps its own spacing.
+    """
+    out = texts.to_pylist()
+    raw, _ = text_bytes(texts)
+    for r in (r for r, s in enumerate(spans) if s):
+        base, keep, at = int(w.first[r]), [], int(w.offsets[r])
+        for a, b in spans[r]:
+            keep.append(raw[at:w.start[base + a]])
+            at = int(w.start[base + b]) if base + b < w.first[r + 1] else int(w.offsets[r + 1])
+        keep.append(raw[at:w.offsets[r + 1]])
+        out[r] = np.concatenate(keep).tobytes().decode("utf-8")
+    return out
+
+
+def span_column(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    """Stretches as an Arrow list of ``first``, ``stop``."""
+    cuts = np.concatenate([[0], np.cumsum([len(s) for s in spans])]).astype(np.int32)
+    flat = np.array([x for s in spans for x in s], np.int64).reshape(-1, 2)
+    pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["first", "stop"])
+    return pa.ListArray.from_arrays(pa.array(cuts), pairs)
