@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, decontamination, langid, sampling, simhash, substrings, tokens, urls
+from touchline.llm import chat, decontamination, langid, quality, sampling, simhash, substrings, tokens, urls
 from touchline.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,18 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
 
 
+# Documents below this quality are rejected.
+GOOD = 0.3
+
+
+@query()
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", langid.fold(F.col("doc_id"), 5) == 0)
+    field = quality.train(docs.filter(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    out = quality.score(docs, field)
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 @query()
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.fold(F.col("doc_id"), 3) == 1)
