@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, decontamination, langid, quality, sampling, simhash, substrings, tokens, urls
+from touchline.llm import chat, decontamination, embeddings, langid, quality, sampling, simhash, substrings, tokens, urls
 from touchline.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +64,21 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+@query("""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT vec_id, v FROM e WHERE v IS NOT NULL AND list_dot_product(v, v) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a, u b WHERE a.vec_id <> b.vec_id
+  AND list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.95),
+r AS (SELECT vec_id AS node, vec_id AS reached FROM e UNION SELECT r.node, l.b FROM r JOIN l ON r.reached = l.a),
+c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id = e.vec_id AS kept
+FROM e JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+""")
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -120,27 +136,19 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, vocabulary).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-# Weights of the sources in order of their names.
-SOURCE_WEIGHTS = (5.0, 2.0, 1.0)
-
-
 @query()
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mix = sampling.pareto_mix(docs, sampling.cycled_weights(docs, SOURCE_WEIGHTS))
+    mix = sampling.pareto_mix(docs, sampling.cycled_weights(docs, corpus_pipeline.SOURCE_WEIGHTS))
     return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
 
 
-# Documents below this quality are rejected.
-GOOD = 0.3
-
-
 @query()
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", langid.fold(F.col("doc_id"), 5) == 0)
     field = quality.train(docs.filter(~F.col("held_out")), table(spark, sf_dir, "labels"))
     out = quality.score(docs, field)
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= corpus_pipeline.GOOD).cast("int").alias("predicted"))
 
 
 @query()
@@ -179,3 +187,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.match_rules(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
