@@ -1,0 +1,114 @@
+"""The registered queries: equal to their check SQL, or to a brute-force version of the whole table."""
+
+import re
+import zlib
+
+import __spark_entry__ as entry
+import numpy as np
+import pandas as pd
+import pytest
+import xxhash
+from compare import difference
+from touchline.llm.queries import ORACLE_SQL, QUERIES
+
+NATIVE = {"op1_chat_formatting", "op6_source_mix", "op10_url_filter"}
+
+
+def read(sf, name):
+    return pd.read_parquet(f"{sf}/{name}.parquet")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_equals_sql(name, spark, sf, con):
+    assert difference(entry.queries()[name](spark, sf), con, ORACLE_SQL[name]) is None
+
+
+def test_all_ten_and_the_pipeline():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert set(QUERIES) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(NATIVE))
+def test_native(name, spark, sf):
+    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct", plan)
+
+
+def test_op5_counts_as_the_library(spark, sf):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = read(sf, "documents")
+    got = entry.queries()["op5_token_counts"](spark, sf).toPandas().set_index("doc_id")
+    want = [len(e) for e in tokenizer.encode_batch(list(docs.text), add_special_tokens=False)]
+    assert list(got.n_tokens.reindex(docs.doc_id)) == want
+    assert list(got.n_bytes.reindex(docs.doc_id)) == [len(t.encode()) for t in docs.text]
+    assert (got.over_limit == (got.n_tokens > 1024)).all()
+
+
+def test_op6_meets_its_targets(spark, sf):
+    docs = read(sf, "documents")
+    run = entry.queries()["op6_source_mix"]
+    got = run(spark, sf).toPandas()
+    assert got.sort_values("doc_id").equals(run(spark, sf).toPandas().sort_values("doc_id")) or \
+        set(map(tuple, got.values)) == set(map(tuple, run(spark, sf).toPandas().values))
+    docs["size"] = [len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in docs.text]
+    assert dict(zip(got.doc_id, got["size"])) == dict(zip(docs.doc_id, docs["size"]))
+    sizes = docs.groupby("source")["size"].sum()
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes.index))}
+    left, target = 1.5 * sizes.sum(), {}
+    while True:  # deal by weight, stop what is above, deal the rest again
+        free = {s: w for s, w in weights.items() if s not in target}
+        level = left / sum(free.values())
+        above = [s for s in free if level * free[s] > 2 * sizes[s]]
+        if not above:
+            break
+        for s in above:
+            target[s] = 2 * sizes[s]
+            left -= target[s]
+    target |= {s: level * w for s, w in weights.items() if s not in target}
+    per = got.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), size=("size", "sum"), largest=("size", "max"))
+    for s, r in per.iterrows():
+        assert r.target == pytest.approx(target[s]) and r["size"] == sizes[s]
+        assert abs(r.taken - r.target) <= r.largest / 2 + 1
+    assert (got.taken <= 2 * got["size"]).all() and (got.taken % got["size"].clip(lower=1) == 0).all()
+
+
+def test_op7_quality_of_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    got = entry.queries()["op7_quality_classifier"](spark, sf).toPandas()
+    assert (got.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in got.doc_id]).all()
+    assert got.score.between(0, 1).all() and (got.predicted == (got.score >= 0.3)).all()
+    held = got[got.held_out].merge(read(sf, "labels"), on="doc_id")
+    assert (held.predicted == held.quality).mean() >= 0.97
+
+
+def test_op8_language_of_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    got = entry.queries()["op8_language_id"](spark, sf).toPandas()
+    assert (got.held_out == [zlib.crc32(str(i).encode()) % 3 == 1 for i in got.doc_id]).all()
+    held = got[got.held_out].merge(read(sf, "documents"), on="doc_id")
+    assert (held.lang_pred == held.lang).mean() >= 0.99 and held.score.between(0, 1).all()
+
+
+def test_op9_equals_brute_force(spark, sf):
+    docs = read(sf, "documents")
+    got = entry.queries()["op9_simhash_dedup"](spark, sf).toPandas().set_index("doc_id")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    prints = {}
+    for i, t in zip(docs.doc_id, docs.text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.translate(lower))
+        runs = [" ".join(w[k:k + 4]) for k in range(max(1, len(w) - 3))] if w else []
+        h = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    ids = sorted(prints)
+    assert [got.fingerprint[i] for i in ids] == [f"{prints[i]:016x}" for i in ids]
+    v, label = np.array([prints[i] for i in ids], np.uint64), np.arange(len(ids))
+    near = [np.flatnonzero(np.bitwise_count(v ^ x) <= 4) for x in v]
+    for _ in ids:
+        new = np.array([label[n].min() for n in near])
+        if (new == label).all():
+            break
+        label = new
+    assert [got.component_id[i] for i in ids] == [ids[k] for k in label]

@@ -87,10 +87,10 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     which a source reaches its target is sorted row by row. No text is shuffled.
     """
     u = (F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-    d = docs.withColumns({
-        "m_size": size_in_words(F.col(text)), "m_source": F.col(source).cast("string"), "m_u": u,
-        "m_id": F.col(doc_id), "m_tie": F.xxhash64(F.col(text), F.lit(seed)),
-    })
+    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    d = docs.select(
+        F.struct(*kept).alias("m_row"), size_in_words(F.col(text)).alias("m_size"), F.col(source).cast("string").alias("m_source"),
+        u.alias("m_u"), F.col(doc_id).alias("m_id"), F.xxhash64(F.col(text), F.lit(seed)).alias("m_tie"))
     slim = stored(d.select("m_size", "m_source", "m_u", "m_id", "m_tie"), "sizes")
     goal = targets(slim.groupBy(F.col("m_source").alias("source")).agg(F.sum("m_size").alias("source_size")), weights, share, most)
     ratio = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
@@ -123,8 +123,6 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     nearest = rest.filter(off < F.col("gap")).groupBy(F.col("m_source").alias("source")).agg(F.min_by("m_key", F.struct(off, "m_key")).alias("nearest"))
     plan = stored(plan.join(nearest.withColumnRenamed("source", "n_source"), F.col("source").eqNullSafe(F.col("n_source")), "left").drop("n_source"), "mix")
 
-    names = ("size", "source_size", "target", "copies")
-    kept = [c for c in docs.columns if c not in names]
     out = _ranked(_with(d, _per_source(plan)))
-    extra = (chosen | F.coalesce(F.col("m_key") == F.col("nearest"), F.lit(False))).cast("bigint")
-    return out.select(*kept, F.col("m_size").alias("size"), "source_size", "target", (F.col("whole") + extra).alias("copies"))
+    extra = (F.col("p") > 0) & (chosen | F.coalesce(F.col("m_key") == F.col("nearest"), F.lit(False)))
+    return out.select("m_row.*", F.col("m_size").alias("size"), "source_size", "target", (F.col("whole") + extra.cast("bigint")).alias("copies"))

@@ -96,6 +96,7 @@ def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url", blocks: in
         F.struct(F.length("r_host") + F.length("r_path"), F.length("r_host")),
     ).alias("best"))
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    return (pages.select(*kept).join(best, F.col(url) == F.col("j_url"), "left").select(
-        *kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit("allow")).alias("verdict")))
+    rows = pages.select(F.struct(*kept).alias("row"), F.col(url).alias("url"))
+    return rows.join(best, F.col("url") == F.col("j_url"), "left").select(
+        "row.*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("best.rule").alias("rule"),
+        F.coalesce("best.verdict", F.lit("allow")).alias("verdict"))
