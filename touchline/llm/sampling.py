@@ -11,6 +11,8 @@ from touchline.llm.common import WORD, stored
 
 # Steps of the selection order: only the step in which a source reaches its target is ordered row by row.
 STEPS = 1 << 16
+# Documents of a source that may fill the gap before one that is too long for it.
+MORE = 64
 
 
 def size_in_words(text: Column) -> Column:
@@ -75,8 +77,10 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     sample. Pareto order sampling (Rosén 1997) ranks the documents by the odds
     of a uniform number U, taken from a hash of the id, over the odds of p, and
     takes the first. The fixed size is in words: documents are taken while they
-    fit what whole copies leave of the target, then the one document whose size
-    comes nearest to what is still missing, if that is nearer than none.
+    fit what whole copies leave of the target. Where the next one is too long,
+    those after it that fit follow, in the same order and at most ``MORE``; then
+    the one whose size comes nearest to what is missing joins them or takes their
+    place, if that meets the target better.
 
     Null texts have size 0 and are drawn like others; null sources are a source
     of their own; a source without words or weight gives no copies. Rows with
@@ -91,7 +95,7 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     d = docs.select(
         F.struct(*kept).alias("m_row"), size_in_words(F.col(text)).alias("m_size"), F.col(source).cast("string").alias("m_source"),
         u.alias("m_u"), F.col(doc_id).alias("m_id"), F.xxhash64(F.col(text), F.lit(seed)).alias("m_tie"))
-    slim = stored(d.select("m_size", "m_source", "m_u", "m_id", "m_tie"), "sizes")
+    slim = stored(d.groupBy("m_source", "m_u", "m_id", "m_tie").agg(F.sum("m_size").alias("m_size")), "sizes")
     goal = targets(slim.groupBy(F.col("m_source").alias("source")).agg(F.sum("m_size").alias("source_size")), weights, share, most)
     ratio = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
     goal = goal.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
@@ -106,10 +110,9 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     last = stored(last.select("source", "step", (F.col("upto") - F.col("words")).alias("before")), "steps")
 
     room = _with(ranked, _per_source(last)).filter(F.col("m_step") == F.col("step"))
-    same = room.groupBy("m_source", "m_key").agg(F.sum("m_size").alias("words"), F.max("missing").alias("missing"), F.max("before").alias("before"))
     by = Window.partitionBy("m_source").orderBy("m_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one step of a source
-    same = same.withColumn("taken", F.col("before") + F.sum("words").over(by)).filter(F.col("taken") <= F.col("missing"))
-    cut = same.groupBy(F.col("m_source").alias("source")).agg(F.max("m_key").alias("cut"), F.max("taken").alias("taken"))
+    room = room.withColumn("taken", F.col("before") + F.sum("m_size").over(by)).filter(F.col("taken") <= F.col("missing"))
+    cut = room.groupBy(F.col("m_source").alias("source")).agg(F.max("m_key").alias("cut"), F.max("taken").alias("taken"))
     plan = goal.join(last.withColumnRenamed("source", "l_source"), F.col("source").eqNullSafe(F.col("l_source")), "left").drop("l_source")
     plan = plan.join(cut.withColumnRenamed("source", "c_source"), F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
     gap = F.col("missing") - F.coalesce("taken", "before", F.col("missing"))
@@ -117,12 +120,28 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
 
     chosen = F.when(F.col("step").isNull(), F.col("p") > 0).otherwise(
         (F.col("m_step") < F.col("step")) | F.coalesce(F.col("m_key") <= F.col("cut"), F.lit(False)))
-    rest = _ranked(_with(slim, _per_source(plan))).filter(~chosen & (F.col("gap") > 0))
-    rest = rest.groupBy("m_source", "m_key").agg(F.sum("m_size").alias("words"), F.max("gap").alias("gap"))
-    off = F.abs(F.col("words") - F.col("gap"))
-    nearest = rest.filter(off < F.col("gap")).groupBy(F.col("m_source").alias("source")).agg(F.min_by("m_key", F.struct(off, "m_key")).alias("nearest"))
-    plan = stored(plan.join(nearest.withColumnRenamed("source", "n_source"), F.col("source").eqNullSafe(F.col("n_source")), "left").drop("n_source"), "mix")
+    units = _ranked(_with(slim, _per_source(plan.filter((F.col("gap") > 0) & (F.col("p") > 0))))).filter("gap is not null")
+    order = Window.partitionBy("m_source").orderBy("m_key")
+    fits = units.filter(~chosen & (F.col("m_size") > 0) & (F.col("m_size") <= F.col("gap")))
+    fits = fits.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= MORE)
+    fits = fits.withColumn("sum", F.sum("m_size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    fits = fits.filter(F.col("sum") <= F.col("gap")).groupBy(F.col("m_source").alias("source")).agg(
+        F.collect_list("m_key").alias("more"), F.max("sum").alias("filled"))
+    plan = stored(plan.join(fits.withColumnRenamed("source", "f_source"), F.col("source").eqNullSafe(F.col("f_source")), "left").drop("f_source"), "fits")
+
+    # the last document joins those that filled the gap, or takes their place if it meets the target better
+    filler = F.coalesce(F.array_contains("more", F.col("m_key")), F.lit(False))
+    rest = _ranked(_with(slim, _per_source(plan))).filter((F.col("p") > 0) & ~chosen)
+    left = F.col("gap") - F.coalesce("filled", F.lit(0))
+    rest = rest.withColumn("way", F.explode(F.array(
+        F.struct(F.lit(False).alias("alone"), F.when(~filler, F.abs(F.col("m_size") - left)).alias("off")),
+        F.struct(F.lit(True).alias("alone"), F.abs(F.col("m_size") - F.col("gap")).alias("off")))))
+    rest = rest.filter(F.col("way.off") < left)
+    close = rest.groupBy(F.col("m_source").alias("source")).agg(F.min_by(
+        F.struct(F.col("m_key").alias("key"), F.col("way.alone").alias("alone")), F.struct("way.off", "way.alone", "m_key")).alias("close"))
+    plan = stored(plan.join(close.withColumnRenamed("source", "n_source"), F.col("source").eqNullSafe(F.col("n_source")), "left").drop("n_source"), "mix")
+    taken = chosen | (filler & ~F.coalesce("close.alone", F.lit(False))) | F.coalesce(F.col("m_key") == F.col("close.key"), F.lit(False))
 
     out = _ranked(_with(d, _per_source(plan)))
-    extra = (F.col("p") > 0) & (chosen | F.coalesce(F.col("m_key") == F.col("nearest"), F.lit(False)))
+    extra = (F.col("p") > 0) & taken
     return out.select("m_row.*", F.col("m_size").alias("size"), "source_size", "target", (F.col("whole") + extra.cast("bigint")).alias("copies"))
