@@ -46,6 +46,9 @@ def seasons(tmp_path):
         (root / league).mkdir(parents=True)
     (root / "la_liga/season-2324.csv").write_text("Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR,HS\n12/08/2023,A,B,2,1,H,9\nbad,A,B,1,1,D,1\n")
     (root / "la_liga/season-2425.csv").write_text("HomeTeam,AwayTeam,FTAG,FTHG,Date,FTR\nC,D,0,3,17/08/24,H\n\"E, F\",G,,1,18/08/2024,\n")
+    (root / "la_liga/season-2526.csv").mkdir()  # two part files of one season, each with its own order of columns
+    (root / "la_liga/season-2526.csv/part-0.csv").write_text("Date,HomeTeam,AwayTeam,FTHG,FTAG\n01/08/2025,X,Y,4,0\n")
+    (root / "la_liga/season-2526.csv/part-1.csv").write_text("FTAG,HomeTeam,FTHG,AwayTeam,Date\n1,Y,5,X,02/08/2025\n")
     (root / "la_liga/season-9394.csv").write_text("Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR\n05/09/1993,Old,Older,1,0,H\n")
     (root / "premier_league/season-2425.csv").write_bytes("Date,HomeTeam,AwayTeam,FTHG,FTAG,FTR\n17/08/2024,Q".encode() + b"\xff" + "R,S,1,2,A\n".encode())
     (root / "premier_league/season-2223.csv").write_text("a,b\n1,2\n")
@@ -55,12 +58,13 @@ def seasons(tmp_path):
 def test_season_files_with_different_headers(spark, seasons):
     out = readers.read_season_csv(spark, str(seasons))
     rows = {(r["competition"], r["season"], r["HomeTeam"]): r for r in out.collect()}
+    assert [rows.pop(("PD", 2025, t))["FTHG"] for t in "XY"] == ["4", "5"]
     assert set(rows) == {("PD", 2023, "A"), ("PD", 2024, "C"), ("PD", 2024, "E, F"), ("PL", 2024, "Q�R")}
     assert (rows[("PD", 2024, "C")]["FTHG"], rows[("PD", 2024, "C")]["FTAG"], rows[("PD", 2024, "C")]["HS"]) == ("3", "0", None)
     aliases = spark.createDataFrame([("A", "A")], "alias string, canonical string")
     kept = M.season_for_union(out, aliases).collect()
     assert sorted((r["home_team"], str(r["date"]), r["home_goals"], r["home_shots"]) for r in kept) == [
-        ("A", "2023-08-12", 2, 9), ("C", "2024-08-17", 3, None), ("Q�R", "2024-08-17", 1, None)]
+        ("A", "2023-08-12", 2, 9), ("C", "2024-08-17", 3, None), ("Q�R", "2024-08-17", 1, None), ("X", "2025-08-01", 4, None), ("Y", "2025-08-02", 5, None)]
 
 
 def test_no_season_files(spark, tmp_path):
@@ -75,7 +79,7 @@ def test_club_marts_twice(spark, feed, seasons):
         club_plan.build_club_marts(spark, str(feed), str(seasons), aliases)
         tables = ("unified_matches", "classements_equipes_unified", "matches", "avantage_domicile", "matches_enrichis", "competitions")
         counts.append([spark.table(f"marts_clubs.{t}").count() for t in tables])
-    assert counts[0] == counts[1] and counts[0][0] == 4
+    assert counts[0] == counts[1] and counts[0][0] == 6
     assert spark.table("marts_clubs.unified_matches").filter("home_team = 'Alpha'").count() == 2
     for name in writers.SCHEMAS:
         spark.sql(f"DROP DATABASE {name} CASCADE")
@@ -155,3 +159,19 @@ def test_incremental_feed(spark, tmp_path):
     (tmp_path / "in/PL_2.json").write_text(json.dumps(doc("PL", match(1, "A", "B", 2, 1), match(3, "B", "A", 0, 1, day="2024-09-01")), indent=1))
     third = run()
     assert third[("PL", "A")] == (2, 6) and third[("PL", "B")] == (2, 0) and third[("PD", "E")] == (1, 1)
+    # a corrected score wins over the earlier one, and a season whose only match is cancelled loses its table
+    (tmp_path / "in/PL_3.json").write_text(json.dumps(doc("PL", match(1, "A", "B", 0, 1)), indent=1))
+    (tmp_path / "in/PD_2.json").write_text(json.dumps(doc("PD", match(2, "E", "F", 99, 0)), indent=1))
+    fourth = run()
+    assert fourth[("PL", "A")] == (2, 3) and fourth[("PL", "B")] == (2, 3) and ("PD", "E") not in fourth
+    touched = spark.createDataFrame([("PL", 2024)], "competition string, season int")
+    plan = incremental.touched_matches(spark, store, touched)._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: ["):]
+    assert "= PL)" in filters[: filters.index("]")] and "= 2024)" in filters[: filters.index("]")]  # only the touched folders are read
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,"b,c"\n1,"two\nlines, and ""quotes"""\n2,x\n')
+    assert [tuple(r) for r in readers.read_snapshot_table(spark, str(tmp_path), "t").collect()] == [("1", 'two\nlines, and "quotes"'), ("2", "x")]
+    row = files.file_inventory(spark, str(tmp_path)).first()
+    assert (row["records"], row["n_columns"]) == (2, 2)

@@ -450,11 +450,11 @@ FROM (SELECT *, {_RESULT.format(h='home_goals', a='away_goals')} AS result
 @query("incremental_standings", "SS-1", table_sql(
     "q_feed_best", "competition, competition_name, season", "home_team AS club_name", "away_team AS club_name", "home_goals", "away_goals"))
 def _(spark, sf):
-    """Feed documents arrive in files; the stream runs twice, the second run finds nothing new."""
+    """Documents of many matches arrive in two batches; the second corrects the scores of two leagues. A third run finds nothing new."""
     df = feed(spark, sf)
     doc = F.struct(
         F.struct(F.col("competition_id").alias("code"), F.col("competition_name").alias("name")).alias("competition"),
-        F.array(F.struct(
+        F.collect_list(F.struct(
             F.col("game_id").alias("id"), F.col("date").cast("string").alias("utcDate"), "status",
             F.col("round").alias("matchday"), F.struct(F.col("season").cast("string").alias("startDate")).alias("season"),
             F.struct(F.col("home_club_name").alias("name")).alias("homeTeam"),
@@ -463,8 +463,12 @@ def _(spark, sf):
         )).alias("matches"),
     )
     path = scratch(spark, "stream")
-    df.select(doc.alias("d")).select("d.*").write.json(f"{path}/feed")
-    for _run in range(2):
+    late = df.filter(F.col("competition_id").isin("PL", "PD"))
+    wrong = F.when(F.col("competition_id").isin("PL", "PD"), (F.col("home_club_goals") + 3) % 7).otherwise(F.col("home_club_goals"))
+    for batch, rows in ((0, df.withColumn("home_club_goals", wrong)), (1, late), (2, None)):
+        if rows is not None:
+            docs = rows.groupBy("competition_id", "competition_name", "season", F.col("game_id") % 20).agg(doc.alias("d"))
+            docs.select("d.*").write.json(f"{path}/feed/{batch}")
         incremental.incremental_matches(
             spark, f"{path}/feed", f"{path}/store", f"{path}/checkpoint", aliases(spark, sf), multi_line=False)
     return incremental.current_standings(spark, f"{path}/store")

@@ -11,6 +11,7 @@ from touchline.catalog.registry import query
 from touchline.catalog.scratch import scratch
 from touchline.operators import features, models, quality, reports, stats
 from touchline.plans import projection as plan
+from touchline.session import cut_lineage
 from touchline.sources import writers
 
 _fitted: dict[tuple, tuple] = {}
@@ -51,7 +52,7 @@ def _(spark, sf):
 
 @query("projection_scores", "ML-7")
 def _(spark, sf):
-    return fitted(spark, sf)[1].select(*plan.OUTPUT)
+    return plan.output(fitted(spark, sf)[1])
 
 
 @query("projection_importances", "ML-6 TK-6")
@@ -81,30 +82,62 @@ def _(spark, sf):
     return quality.model_gate(spark, r2, scored.count())
 
 
+_compared: dict[tuple, tuple] = {}
+
+
+def compared(spark, sf):
+    """Best kind of period model, the fitted model and the table of all three, fitted once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _compared:
+        rows, _ = temporal_rows(spark, sf)
+        _compared[key] = models.compare_models(rows, models.candidates_for_comparison(spark))
+    return _compared[key]
+
+
+def winners_predictions(spark, sf):
+    """What the best model says about every period, beside the actual value."""
+    best, model, _ = compared(spark, sf)
+    rows, _ = temporal_rows(spark, sf)
+    return reports.evaluate_predictions(models.predict_values(rows, model), "predicted", "market_value_t1", best)
+
+
 @query("compared_models", "ML-3")
 def _(spark, sf):
-    """Twenty trees to a forest and ten boosting rounds; the defaults are 200."""
-    rows, _ = temporal_rows(spark, sf)
-    return models.compare_models(rows, models.candidates_for_comparison(spark, trees=20, depth=8))[2]
+    return compared(spark, sf)[2]
 
 
 @query("temporal_predictions", "ML-8 ML-9")
 def _(spark, sf):
-    """Predictions of the linear period model with bucket and residual."""
-    rows, _ = temporal_rows(spark, sf)
-    model = models.Pipeline(stages=models.candidates_for_comparison(spark)["linear_regression"]).fit(rows)
-    out = reports.evaluate_predictions(models.predict_values(rows, model), "predicted", "market_value_t1", "linear_regression")
-    return reports.residuals(out, "predicted_value", "actual_value").drop("features", "label", "scaled", "prediction", "predicted")
+    """Predictions of the winning period model with bucket and residual."""
+    out = reports.residuals(winners_predictions(spark, sf), "predicted_value", "actual_value")
+    return out.drop("features", "label", "scaled", "prediction", "predicted")
 
 
 @query("cross_validation", "ML-4")
 def _(spark, sf):
-    rows, _ = temporal_rows(spark, sf)
-    scaler, linear = models.candidates_for_comparison(spark)["linear_regression"]
-    return models.cross_validate(rows, models.Pipeline(stages=[scaler, linear]))
+    """Five folds of the boosted projection model on the training part of the projection rows."""
+    dataset = pq.dataset(spark, sf)
+    rows = models.prepare_projection(dataset, models.fit_encoders(dataset), C.PROJECTION_FEATURES)
+    train, _ = rows.randomSplit([0.8, 0.2], seed=C.SEED)
+    return models.cross_validate(cut_lineage(train), models.boosted_trees(spark))
+
+
+def market_value_rows(spark, sf):
+    """Complete rows of the market-value model: performance and profile, 0/1 columns, log of the value as label."""
+    df, _ = features.with_dummies(features.market_value_features(pq.players(spark, sf), pq.performance(spark, sf)))
+    names = [*C.MARKET_VALUE_FEATURES, *[c for c in df.columns if c.startswith(("pos_", "foot_", "nat_"))]]
+    return models.assembled(df.na.drop(subset=names), names, "market_value_in_eur", "player_id")
 
 
-@query("median_filled", "SC-19")
+@query("market_value_models", "ML-3 FE-7")
+def _(spark, sf):
+    """The three kinds of model on the market-value features, the best one marked."""
+    return models.compare_models(market_value_rows(spark, sf), models.candidates_for_comparison(spark))[2]
+
+
+@query("median_filled", "SC-19", """
+SELECT player_id, CAST(coalesce(international_caps, (SELECT median(international_caps) FROM q_players)) AS DOUBLE) AS international_caps FROM q_players
+""")
 def _(spark, sf):
     df = pq.players(spark, sf).select("player_id", F.col("international_caps").cast("double").alias("international_caps"))
     return models.median_fill(df, ["international_caps"])
@@ -112,7 +145,4 @@ def _(spark, sf):
 
 @query("temporal_evaluation_mix", "AG-13 ML-8")
 def _(spark, sf):
-    rows, _ = temporal_rows(spark, sf)
-    model = models.Pipeline(stages=models.candidates_for_comparison(spark)["linear_regression"]).fit(rows)
-    out = reports.evaluate_predictions(models.predict_values(rows, model), "predicted", "market_value_t1", "linear_regression")
-    return stats.evaluation_mix(out)
+    return stats.evaluation_mix(winners_predictions(spark, sf))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,20 +15,23 @@ from touchline.operators import clean
 from touchline.operators.periods import consecutive_pairs, interval_join
 from touchline.operators.players import club_values, latest_by
 
-MAX_CATEGORIES = 1000
-
-
-def vocabularies(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+def vocabularies(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct values of categorical columns, read in one pass to fix the
-    0/1 columns of train and score alike; refuses a column that is not categorical.
+    0/1 columns of train and score alike.
+
+    One column per value is as wide as the vocabulary: group rare values first
+    (:func:`top_n_or_other`), or take :func:`one_hot_vector` for wide columns.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns]))
-    rows = df.select(pairs.alias("p")).select("p.*").filter("v IS NOT NULL").distinct()
-    found = rows.limit(limit * len(columns) + 1).collect()
-    out = {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
-    if len(found) > limit * len(columns) or any(len(v) > limit for v in out.values()):
-        raise ValueError(f"more than {limit} values in one of {list(columns)}; group it first")
-    return out
+    found = df.select(pairs.alias("p")).select("p.*").filter("v IS NOT NULL").distinct().collect()
+    return {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
+
+
+def one_hot_vector(df: DataFrame, column: str, out: str) -> DataFrame:
+    """A sparse 0/1 vector per row, whatever the number of values; NULL has a place of its own."""
+    indexer = StringIndexer(inputCol=column, outputCol=f"_{out}", stringOrderType="alphabetAsc", handleInvalid="keep")
+    encoder = OneHotEncoder(inputCol=f"_{out}", outputCol=out, dropLast=False)
+    return Pipeline(stages=[indexer, encoder]).fit(df).transform(df).drop(f"_{out}")
 
 
 def one_hot(df: DataFrame, column: str, prefix: str, values: Sequence[str]) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from touchline import constants as C
 from touchline.functions import columns as X
 from touchline.operators import clean
-from touchline.operators.stats import regression_metrics
+from touchline.operators.stats import exact_quantiles, regression_metrics
 from touchline.session import ensure_checkpoint_dir
 
 ENCODED = ("position", "foot")
@@ -26,9 +27,12 @@ UNKNOWN = "Unknown"
 
 
 def median_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill missing numbers by the column median."""
-    imputer = Imputer(strategy="median", inputCols=list(columns), outputCols=list(columns), relativeError=1e-4)
-    return imputer.fit(df).transform(df)
+    """Fill missing numbers (NULL and NaN) by the exact column median."""
+    medians = {}
+    for c in columns:
+        known = df.select(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("v")).filter("v IS NOT NULL")
+        medians[c] = exact_quantiles(known, "v", {"median": 0.5}).scalar()
+    return df.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), m) for c, m in medians.items()})
 
 
 def fit_encoders(df: DataFrame, columns: Sequence[str] = ENCODED) -> StringIndexerModel:
@@ -116,8 +120,7 @@ def train_projection(
     encoders = fit_encoders(dataset)
     rows = prepare_projection(dataset, encoders, features).checkpoint(eager=True)
 
-    # four positions; the limit guards against a column that is none
-    sizes = rows.groupBy("position").count().orderBy("position").limit(100).collect()
+    sizes = rows.groupBy("position").count().orderBy("position").collect()  # one row per position
     scopes = [("global", sum(r["count"] for r in sizes), rows)]
     scopes += [(p, n, rows.filter(F.col("position") == p)) for p, n in sizes if n >= min_rows]
 
@@ -132,23 +135,26 @@ def train_projection(
 
 
 def score_projection(candidates: DataFrame, projection: Projection) -> DataFrame:
-    """Projected value per candidate: the position's model if there is one, else the global."""
+    """Projected value per candidate: the position's model if there is one, else the global.
+
+    Each candidate passes through one model only. Missing numbers (NULL and NaN)
+    count as 0. The value is not rounded; what is shown is rounded last.
+    """
     rows = label_encode(candidates, projection.encoders, {"position": "Missing", "foot": UNKNOWN})
     filled = rows.select(*candidates.columns, *[
-        F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"_f_{f}") for f in projection.features
+        F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(f"_f_{f}") for f in projection.features
     ])
-    scored = VectorAssembler(inputCols=[f"_f_{f}" for f in projection.features], outputCol="features").transform(filled)
-    scored = projection.model.transform(scored)
-    value, used = F.col("prediction"), F.lit("global")
-    for i, (position, model) in enumerate(sorted(projection.by_position.items())):
-        scored = model.transform(scored.withColumnRenamed("prediction", f"_p{i}"))
-        own = F.col("position") == position
-        scored = scored.withColumnRenamed("prediction", f"_own{i}").withColumnRenamed(f"_p{i}", "prediction")
-        value = F.when(own, F.col(f"_own{i}")).otherwise(value)
-        used = F.when(own, F.lit(position)).otherwise(used)
-    return scored.select(
-        *candidates.columns, F.round(X.unlog_value(value), 0).alias("valeur_projetee"), used.alias("modele_utilise")
-    )
+    ready = VectorAssembler(inputCols=[f"_f_{f}" for f in projection.features], outputCol="features").transform(filled)
+    own = sorted(projection.by_position.items())
+    known = F.coalesce(F.col("position").isin(*[p for p, _ in own]), F.lit(False)) if own else F.lit(False)
+    parts = [("global", projection.model, ready.filter(~known))]
+    parts += [(p, model, ready.filter(F.col("position") == p)) for p, model in own]
+    scored = [
+        model.transform(part).select(
+            *candidates.columns, X.unlog_value("prediction").alias("valeur_projetee"), F.lit(name).alias("modele_utilise"))
+        for name, model, part in parts
+    ]
+    return reduce(DataFrame.unionByName, scored)
 
 
 def importance_table(model: PipelineModel, features: Sequence[str], spark: SparkSession, without: str | None = None) -> DataFrame:

@@ -111,4 +111,4 @@ def scouting_report(scored: DataFrame) -> DataFrame:
         ).otherwise("Non référencé"),
     })
     known = X.progression_pct("valeur_projetee", "valeur_actuelle", None)
-    return out.withColumn("signal", X.opportunity(known))
+    return out.withColumn("signal", X.opportunity(known)).withColumn("valeur_projetee", F.round("valeur_projetee", 0))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline import constants as C
 from touchline.functions.columns import col
+from touchline.session import cut_lineage
 
 
 def coverage(df: DataFrame, column: str) -> DataFrame:
@@ -47,53 +48,48 @@ def date_span(df: DataFrame, date: str = "date", season: str = "season") -> Data
     )
 
 
-def describe(df: DataFrame, column: str, digits: int = 1, bins: int = 4096) -> DataFrame:
-    """Count, mean, deviation, extremes and exact interpolated quartiles, one row.
+def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, float], accuracy: int = 10_000) -> DataFrame:
+    """One row: the exact interpolated quantile of a column for each name.
 
-    Exact quartiles without one task holding the whole column: equal values
-    collapse to a count, the counts fall into fixed-width bins, one row per
-    bin tells in which bins the wanted ranks lie, and only those are ordered.
+    Approximate percentiles a little below and above each rank, with a proven
+    rank error of 1 / ``accuracy``, enclose it. Rows below collapse to a count
+    and their largest value in every map task, rows above are dropped, equal
+    values between collapse to a count; only those few are ordered.
     """
-    v = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    limits = counts.agg(F.struct(
-        F.sum("n").alias("total"), F.min("v").alias("low"), F.max("v").alias("high"),
-        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
-    ).alias("limits"))
-    binned = counts.withColumn("limits", limits.scalar()).select("v", "n", "limits.*")
-    position = F.floor((F.col("v") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)) * bins)
-    binned = binned.withColumn("bin", F.coalesce(position, F.lit(0).cast("bigint")))
-
-    upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    per_bin = binned.groupBy("bin").agg(F.sum("n").alias("bin_n"), F.max("total").alias("total"))
-    # at most bins + 1 rows
-    per_bin = per_bin.withColumn("before", F.coalesce(F.sum("bin_n").over(upto), F.lit(0)))
+    slack = 2.0 / accuracy
+    edges = [p for q in probabilities.values() for p in (max(0.0, q - slack), min(1.0, q + slack))]
+    v = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
+    limits = v.agg(F.struct(
+        F.count(F.lit(1)).alias("total"), F.approx_percentile("v", edges, accuracy).alias("edges")).alias("limits"))
     wanted = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(q).alias("q"))
-        for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+        F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q"),
+                 F.col("limits.edges")[2 * i].alias("low"), F.col("limits.edges")[2 * i + 1].alias("high"))
+        for i, (name, q) in enumerate(probabilities.items())
     ]))
-    ranks = per_bin.withColumn("w", wanted).withColumn("at", (F.col("total") - 1) * F.col("w.q"))
-    ranks = ranks.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
-    ranks = ranks.filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("bin_n")))
-    ranks = ranks.select("bin", "before", F.col("w.name").alias("name"), "at", "rank")
-
-    # at most six ranks, so at most six bins are ordered
-    ordered = binned.select("bin", "v", "n").join(F.broadcast(ranks.select("bin").distinct()), "bin", "left_semi")
-    in_bin = Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = ordered.withColumn("last", F.sum("n").over(in_bin))
-    hit = ordered.join(F.broadcast(ranks), "bin").filter(
-        (F.col("rank") < F.col("before") + F.col("last"))
-        & (F.col("rank") >= F.col("before") + F.col("last") - F.col("n"))
-    )
+    rows = v.withColumn("limits", limits.scalar()).select("v", F.col("limits.total").alias("total"), wanted.alias("w"))
+    rows = rows.filter(F.col("v") <= F.col("w.high")).select("v", "total", "w.name", "w.q", "w.low")
+    place = F.when(F.col("v") >= F.col("low"), F.col("v"))  # NULL: below the enclosure
+    counts = rows.groupBy("name", "q", "total", place.alias("place")).agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v"))
+    upto = Window.partitionBy("name").orderBy(F.col("place").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("last", F.sum("n").over(upto)).withColumn("at", (F.col("total") - 1) * F.col("q"))
+    ranks = counts.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
+    hit = ranks.filter((F.col("rank") < F.col("last")) & (F.col("rank") >= F.col("last") - F.col("n")))
     share = F.lit(1.0) - F.abs(F.col("at") - F.col("rank"))
-    quartiles = hit.agg(F.struct(*[
-        F.round(F.sum(F.when(F.col("name") == q, F.col("v") * share)), digits).alias(q) for q in ("q25", "q50", "q75")
-    ]))
-    gap = F.col("v") - F.col("mean")
-    spread = F.sum(gap * gap * F.col("n")) / F.nullif(F.max("total") - 1, F.lit(0))
-    basic = binned.agg(
-        F.max("total").alias("n"), F.round(F.max("mean"), digits).alias("mean"),
-        F.round(F.sqrt(spread), digits).alias("std"), F.max("low").alias("min"), F.max("high").alias("max"),
+    found = [F.sum(F.when(F.col("name") == name, F.col("v") * share)).alias(name) for name in probabilities]
+    return hit.agg(*found)
+
+
+def describe(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
+    """Count, mean, deviation, extremes and exact interpolated quartiles, one row.
+
+    The column is written to the checkpoint folder once and read from there.
+    """
+    v = cut_lineage(df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL"))
+    quartiles = exact_quantiles(v, "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    quartiles = quartiles.select(F.struct(*[F.round(q, digits).alias(q) for q in quartiles.columns]))
+    basic = v.agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("v"), digits).alias("mean"),
+        F.round(F.stddev_samp("v"), digits).alias("std"), F.min("v").alias("min"), F.max("v").alias("max"),
     )
     return basic.withColumn("quartiles", quartiles.scalar()).select(*basic.columns, "quartiles.*")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchline import constants as C
 from touchline.operators import features, models
@@ -26,6 +27,11 @@ def train_and_score(
     return projection, scored
 
 
+def output(scored: DataFrame) -> DataFrame:
+    """The prediction table: values in whole euros."""
+    return scored.select(*OUTPUT).withColumn("valeur_projetee", F.round("valeur_projetee", 0))
+
+
 def build_projection_marts(spark: SparkSession, as_of, model_path: str, trees: int = C.GBT_TREES) -> models.Projection:
     """Train from the player marts, store the models and write the predictions."""
     writers.create_schemas(spark)
@@ -34,5 +40,5 @@ def build_projection_marts(spark: SparkSession, as_of, model_path: str, trees: i
         spark.table("staging.stg_valuations"), as_of, trees,
     )
     models.save_projection(projection, model_path, spark)
-    writers.replace_table(scored.select(*OUTPUT), "marts_ml.predictions_projection_carriere")
+    writers.replace_table(output(scored), "marts_ml.predictions_projection_carriere")
     return projection

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from touchline.sources.readers import read_feed_documents
 
 
-def manifest(spark: SparkSession, root: str, glob: str = "*", contents: bool = True) -> DataFrame:
+def manifest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """One row per file: path, size, time and a fingerprint.
 
-    The fingerprint hashes the bytes; ``contents=False`` uses size and time and
-    reads nothing, for files too large to hold in one task (2 GB and up).
+    The fingerprint is size and time of the last change, as servers announce
+    them: it costs a listing whatever the file size. A file written anew with
+    the same content counts as changed.
     """
     files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=glob).load(root)
-    seen = F.concat_ws("-", F.col("length").cast("string"), F.col("modificationTime").cast("string"))
-    mark = F.sha2("content", 256) if contents else seen
+    mark = F.concat_ws("-", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
     return files.select("path", F.col("length").alias("size"), "modificationTime", mark.alias("fingerprint"))
 
 
@@ -33,14 +33,20 @@ def detect_changed_files(now: DataFrame, before: DataFrame) -> DataFrame:
 
 
 def csv_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Per CSV file: size, records without the header, most fields in a line."""
-    lines = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.csv").text(root).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
-        F.size(F.split("value", ",")).alias("fields"),
-    )
-    return lines.groupBy("path", "size").agg(
-        (F.count(F.lit(1)) - 1).alias("records"), F.max("fields").alias("n_columns")
-    ).withColumn("type", F.lit("csv"))
+    """Per CSV file: size, records without the header, columns of the header.
+
+    Quoted line breaks, commas and doubled quotes are read as the CSV reader does.
+    """
+    options = dict(recursiveFileLookup=True, pathGlobFilter="*.csv")
+    path, size = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
+    lines = spark.read.options(**options).text(root).select(path, size, "value", F.monotonically_increasing_id().alias("at"))
+    heads = lines.groupBy("path", "size").agg(F.min_by("value", "at").alias("head"))
+    quoted = F.regexp_replace("head", r'"(?:[^"]|"")*"', "x")  # a quoted name is one field, whatever is in it
+    heads = heads.select("path", "size", F.size(F.split(quoted, ",", -1)).alias("n_columns"))
+    records = spark.read.schema("first string").options(**options, header=True, multiLine=True, quote='"', escape='"').csv(root)
+    records = records.select(path, "first").groupBy("path").agg(F.count(F.lit(1)).alias("records"))
+    return heads.join(records, "path", "left").select(
+        "path", "size", F.coalesce("records", F.lit(0)).alias("records"), "n_columns", F.lit("csv").alias("type"))
 
 
 def json_inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -56,6 +62,6 @@ def json_inventory(spark: SparkSession, root: str) -> DataFrame:
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """All files of a raw folder; other types show their size only."""
     known = csv_inventory(spark, root).unionByName(json_inventory(spark, root))
-    every = manifest(spark, root, contents=False).select("path", "size")
+    every = manifest(spark, root).select("path", "size")
     kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     return every.join(known.drop("size"), "path", "left").withColumn("type", F.coalesce("type", kind))

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import csv
-import re
 from collections.abc import Sequence
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,68 +41,50 @@ def read_match_feed(spark: SparkSession, path: str, multi_line: bool = True) ->
 _SEASON_PATH = r"(?:^|/)(?:\w+=)?({leagues})/(?:\w+=)?(season-(\d\d)\d\d)\.csv"
 
 
-def _season_files(spark: SparkSession, root: str) -> list[str]:
-    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(root)
-    return sorted(unquote(r[0]) for r in listing.select("path").collect())  # names only, no content
-
-
-def _headers(spark: SparkSession, files: list[str]) -> dict[str, tuple]:
-    """Header fields of a few files, found in one job: a header names both teams."""
-    if not files:
-        return {}
-    lines = spark.read.text(files).select(
-        F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at")
-    )
-    found = lines.filter(F.col("value").contains("HomeTeam") & F.col("value").contains("AwayTeam"))
-    first = found.groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    return {
-        unquote(r["path"]): tuple(next(csv.reader([r["line"].strip("\ufeff\r")]))) for r in first.collect()
-    }
+def _fields(line: Column, width: int) -> Column:
+    """The fields of a CSV line, in order."""
+    row = F.from_csv(line, ", ".join(f"c{i} string" for i in range(width)))
+    return F.array(*[row[f"c{i}"] for i in range(width)])
 
 
 def read_season_csv(spark: SparkSession, root: str, first_season: int = C.FIRST_SEASON) -> DataFrame:
     """Rows of all season files as text columns, with competition and season.
 
-    Headers differ between seasons, so each league season's header is read
-    once, files with the same header are read together under it, and the few
-    groups are united by name. Old seasons are dropped by file name.
+    Headers differ between seasons and between files, so each file is read by
+    its own: its first line that names both teams. Lines and headers are joined
+    by file and columns are taken by name, in one plan for all layouts and
+    without a list of files on the driver. Old seasons are dropped by file name.
     """
-    pattern = re.compile(_SEASON_PATH.format(leagues="|".join(C.LEAGUE_FOLDERS)))
-    seasons: dict[str, list[str]] = {}
-    for path in _season_files(spark, root):
-        hit = pattern.search(path)
-        if hit:
-            yy = int(hit.group(3))
-            if (2000 if yy <= 30 else 1900) + yy >= first_season:
-                seasons.setdefault(path[: hit.end()], []).append(path)
-
-    layouts: dict[tuple, list[str]] = {}
-    headers = _headers(spark, [files[0] for files in seasons.values()])
-    for files in seasons.values():
-        header = headers.get(files[0], ())
-        if "HomeTeam" in header:
-            layouts.setdefault(header, []).extend(files)
-
-    wanted = ["competition", "season", *SEASON_REQUIRED, *SEASON_STATS]
-    empty = spark.createDataFrame([], ", ".join(f"`{c}` {'int' if c == 'season' else 'string'}" for c in wanted))
-    out = empty
-    for header, files in layouts.items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        rows = spark.read.schema(schema).option("header", True).csv(files)
-        path = F.col("_metadata.file_path")
-        league = F.regexp_extract(path, pattern.pattern, 1)
-        rows = rows.select(
-            *[c for c in header if c in wanted],
-            X.lookup(league, C.LEAGUE_FOLDERS).alias("competition"),
-            X.season_start_year(path).alias("season"),
-        )
-        out = out.unionByName(rows, allowMissingColumns=True)
-    return out
-
-
-def read_snapshot_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One snapshot table as text, as it lies in the file, whatever its column order."""
-    return spark.read.options(header=True, quote='"', escape='"', multiLine=False).csv(f"{root}/{name}.csv")
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    pattern = _SEASON_PATH.format(leagues="|".join(C.LEAGUE_FOLDERS))
+    files = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.csv").text(root)
+    files = files.filter(path.rlike(pattern) & (X.season_start_year(path) >= first_season))
+    lines = files.select(
+        path.alias("path"), F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"), F.monotonically_increasing_id().alias("at"))
+    lines = lines.withColumns({
+        "competition": X.lookup(F.regexp_extract("path", pattern, 1), C.LEAGUE_FOLDERS), "season": X.season_start_year(F.col("path"))})
+    lines = lines.filter(F.trim("line") != "")
+    heads = lines.filter(F.col("line").contains("HomeTeam") & F.col("line").contains("AwayTeam"))
+    heads = heads.groupBy("path").agg(F.min_by("line", "at").alias("head"), F.min("at").alias("head_at"))
+    width = heads.agg(F.max(F.size(F.split("head", ",", -1)))).first()[0] or 1
+    heads = heads.withColumn("names", _fields(F.col("head"), width)).filter(F.array_contains("names", "HomeTeam"))
+    rows = lines.join(heads, "path").filter((F.col("at") > F.col("head_at")) & (F.col("line") != F.col("head")))
+    rows = rows.withColumn("fields", _fields(F.col("line"), width))
+
+    def cell(name: str) -> Column:
+        return F.get("fields", F.array_position("names", F.lit(name)).cast("int") - 1).alias(name)
+
+    return rows.select("competition", "season", *[cell(c) for c in [*SEASON_REQUIRED, *SEASON_STATS]])
+
+
+def read_snapshot_table(spark: SparkSession, root: str, name: str, multi_line: bool = True) -> DataFrame:
+    """One snapshot table as text, as it lies in the file, whatever its column order.
+
+    Quoted line breaks stay in their field. That keeps a file in one task: for
+    large tables land many files, or pass ``multi_line=False`` if no field has a
+    line break.
+    """
+    return spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(f"{root}/{name}.csv")
 
 
 def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.operators.dedup import keep_first
 from touchline.operators.matches import SEASON_KEYS, feed_for_union, flatten_matches, standings, unify_matches, with_points
 from touchline.schemas import MATCH_FEED
 from touchline.sources.writers import replace_partitions
@@ -19,14 +23,29 @@ def _season_shape(spark: SparkSession) -> DataFrame:
 def refresh_tables(spark: SparkSession, store: str, touched: DataFrame) -> None:
     """Rebuild the league tables of the touched league seasons from the stored matches.
 
-    The stored matches are partitioned by league season, and the semi join on
-    these columns prunes the scan to the touched ones.
+    The stored matches are partitioned by league season, and the scan is pruned
+    to the touched ones. Of the versions of a
+    match the one of the newest batch counts, so a corrected score replaces the
+    earlier one.
     """
-    stored = spark.read.parquet(f"{store}/matches").drop("batch")
-    part = stored.join(touched.select(*KEYS).distinct(), KEYS, "left_semi")
-    unified = unify_matches(part, _season_shape(spark))
+    part = touched_matches(spark, store, touched)
+    newest = keep_first(part, ["match_id"], [F.col("batch").desc()]).drop("batch")
+    unified = unify_matches(newest, _season_shape(spark))
     table = standings(with_points(unified), SEASON_KEYS)
-    replace_partitions(table, f"{store}/standings", KEYS)
+    # a league season left without a valid match gets a row that says so, and no table
+    none = touched.select(*KEYS).distinct().join(table.select(*KEYS).distinct(), KEYS, "left_anti")
+    replace_partitions(table.unionByName(none, allowMissingColumns=True), f"{store}/standings", KEYS)
+
+
+def touched_matches(spark: SparkSession, store: str, touched: DataFrame) -> DataFrame:
+    """Stored matches of the touched league seasons, all versions.
+
+    The league seasons, one short row each, become a filter on the partition
+    columns, so only their folders are listed and read.
+    """
+    keys = touched.select(*KEYS).distinct().collect()
+    here = reduce(or_, [(F.col("competition") == c) & (F.col("season") == s) for c, s in keys], F.lit(False))
+    return spark.read.parquet(f"{store}/matches").filter(here)
 
 
 def incremental_matches(
@@ -58,4 +77,4 @@ def incremental_matches(
 
 
 def current_standings(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.parquet(f"{store}/standings")
+    return spark.read.parquet(f"{store}/standings").filter(F.col("club_name").isNotNull())
