@@ -2,6 +2,7 @@
 
 import datetime
 import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,7 +198,11 @@ def test_t_test_against_known_values(spark):
     df = spark.createDataFrame([(float(i), 0.0) for i in range(1, 11)], "home_goals double, away_goals double")
     r = stats.paired_t_test(df).first()
     assert r["t_stat"] == pytest.approx(5.7446, abs=1e-4) and r["rejected"]
-    assert r["p_value"] == pytest.approx(0.000278, rel=0.1)
+    assert r["p_value"] == pytest.approx(0.000278, rel=1e-2)
+    critical = [(2.2281388519649385, 10), (12.706204736432095, 1), (2.0085591121007611, 50), (1.9623390808264078, 1000)]  # two-sided 5 %
+    rows = spark.createDataFrame([(t, float(n)) for t, n in critical] + [(0.0, 7.0), (0.5, 1.0)], "t double, df double")
+    got = [x[0] for x in rows.select(stats.t_p_value(F.col("t"), F.col("df"))).collect()]
+    assert got == pytest.approx([0.05] * 4 + [1.0, 1 - 2 * math.atan(0.5) / math.pi], abs=1e-8)
 
 
 def test_join_coverage_equals_the_join(spark):
