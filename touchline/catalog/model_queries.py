@@ -1,4 +1,4 @@
-"""Model queries: rows only, as a fitted model has no SQL."""
+"""Model queries: what does not depend on fitted numbers has check SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from touchline import constants as C
 from touchline.catalog import fixtures as fx
 from touchline.catalog import player_queries as pq
-from touchline.catalog.registry import query
+from touchline.catalog.registry import CTES, query
 from touchline.catalog.scratch import scratch
 from touchline.operators import features, models, quality, reports, stats
 from touchline.plans import projection as plan
@@ -67,12 +67,34 @@ def _(spark, sf):
     return reports.scouting_report(fitted(spark, sf)[1])
 
 
-@query("reloaded_projection", "ML-10")
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in [*(f for f in C.PROJECTION_FEATURES if not f.endswith("_enc")), "valeur_cible", "position"])
+CTES["q_scopes"] = f"""
+SELECT 'global' AS scope, count(*) AS n FROM q_dataset WHERE {_COMPLETE}
+UNION ALL SELECT position, count(*) FROM q_dataset WHERE {_COMPLETE} GROUP BY position HAVING count(*) >= {C.MIN_ROWS_PER_POSITION}
+"""
+
+
+@query("projection_scopes", "ML-1 ML-2", "SELECT * FROM q_scopes")
+def _(spark, sf):
+    """Which models were trained, and on how many complete rows."""
+    return fitted(spark, sf)[0].metrics_table(spark).select("scope", "n")
+
+
+@query("scored_with", "ML-7", "SELECT player_id, CASE WHEN position IN (SELECT scope FROM q_scopes) THEN position ELSE 'global' END AS modele_utilise FROM q_candidates")
 def _(spark, sf):
-    """Models stored, loaded and used to score."""
+    """Which model scored which player; each player is scored once."""
+    return fitted(spark, sf)[1].select("player_id", "modele_utilise")
+
+
+@query("reloaded_projection", "ML-10", "SELECT player_id, CAST(0 AS DOUBLE) AS difference FROM q_candidates")
+def _(spark, sf):
+    """Models stored, loaded and used to score: the same values as before."""
     path = scratch(spark, "model")
-    models.save_projection(fitted(spark, sf)[0], path, spark)
-    return models.score_projection(pq.candidates(spark, sf), models.load_projection(path, spark)).select("player_id", "valeur_projetee")
+    projection, scored = fitted(spark, sf)
+    models.save_projection(projection, path, spark)
+    again = models.score_projection(pq.candidates(spark, sf), models.load_projection(path, spark))
+    both = again.select("player_id", F.col("valeur_projetee").alias("again")).join(scored.select("player_id", "valeur_projetee"), "player_id")
+    return both.select("player_id", F.abs(F.col("again") - F.col("valeur_projetee")).alias("difference"))
 
 
 @query("model_gate", "DQ-14")

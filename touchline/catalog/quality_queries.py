@@ -17,9 +17,19 @@ from touchline.sources import files, readers, snapshots, writers
 # --- checks -------------------------------------------------------------------
 
 
-@query("missing_columns", "DQ-1")
+@query("missing_columns", "DQ-1", """
+SELECT 'players' AS "table", 'country_of_birth,first_name,last_name,sub_position' AS missing, true AS refused, count(*) AS n_rows FROM fx_players
+UNION ALL SELECT 'games', '', false, count(*) FROM fx_games
+""")
 def _(spark, sf):
-    return quality.check_required_columns(pq.raw(spark, sf, "clubs"), schemas.SNAPSHOT_REQUIRED["clubs"], "clubs")
+    """A table that lacks declared columns and one that has them all, with the rows each would bring."""
+    out = None
+    for t in ("players", "games"):
+        df = pq.raw(spark, sf, t)
+        verdict = quality.check_required_columns(df, schemas.SNAPSHOT_REQUIRED[t], t)
+        one = verdict.join(stats.table_volumes({t: df}), "table").withColumn("missing", F.array_join("missing", ","))
+        out = one if out is None else out.union(one)
+    return out
 
 
 _RATIO = """
