@@ -22,21 +22,25 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Sketch:
-    """``bits``: logarithm of the cells in a row; the cells of a row are dealt over pages of 2 ** PAGE_BITS."""
+    """Each row of counters is dealt over ``pages`` of 2 ** PAGE_BITS cells."""
 
-    bits: int
+    pages: int
 
     @staticmethod
     def for_bytes(n: int) -> Sketch:
-        """Three to seven cells for each window of ordinary text, at any size of the corpus."""
-        return Sketch(max(PAGE_BITS, int(n // 2).bit_length()))
-
-    @property
-    def pages(self) -> int:
-        return 1 << (self.bits - PAGE_BITS)
+        """A cell in each row for each byte of text, so six or seven for each window, at any size of the corpus."""
+        return Sketch(max(1, -(-n >> PAGE_BITS)))
 
     def cells(self, h: np.ndarray, row: int) -> np.ndarray:
-        return (h if row == 0 else mix(h ^ _U(0x5851F42D4C957F2D))) >> _U(64 - self.bits)
+        """The cell of each window: page by the leading bits of its hash, place in the page by the last ones."""
+        if row:
+            h = mix(h ^ _U(0x5851F42D4C957F2D))
+        page = ((h >> _U(32)) * _U(self.pages)) >> _U(32)
+        return (page << _U(PAGE_BITS)) | (h & _U((1 << PAGE_BITS) - 1))
+
+    def cuts(self, cells: np.ndarray) -> np.ndarray:
+        """Where each page begins in ascending cells."""
+        return np.searchsorted(cells, np.arange(self.pages + 1, dtype=_U) << _U(PAGE_BITS))
 
 
 def _windows(batch: pa.RecordBatch, at: int, n: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -58,7 +62,7 @@ def _sketch_pages(blocks: DataFrame, sketch: Sketch, at: int, n: int) -> DataFra
             c = np.sort(sketch.cells(h, r))
             if len(c) > 2:
                 c = c[np.append([True, True], c[2:] != c[:-2])]
-            cuts = np.searchsorted(c, np.arange(sketch.pages + 1, dtype=_U) << _U(PAGE_BITS))
+            cuts = sketch.cuts(c)
             for p in np.flatnonzero(np.diff(cuts)):
                 pages.append(r * sketch.pages + int(p))
                 cells.append(pack_sorted(c[cuts[p]:cuts[p + 1]] - (_U(p) << _U(PAGE_BITS))))
@@ -72,22 +76,21 @@ def _sketch_pages(blocks: DataFrame, sketch: Sketch, at: int, n: int) -> DataFra
 
 
 def _repeated_cells(partial: DataFrame) -> DataFrame:
-    """Merges the partial sketches of each page and tells each block which of its cells count two or more."""
-    schema = pa.schema([("block", pa.int64()), ("page", pa.int64()), ("cells", pa.binary())])
+    """Merges the partial sketches of each page and tells each block, by a bit for each of its cells, which count two or more."""
+    schema = pa.schema([("block", pa.int64()), ("page", pa.int64()), ("hot", pa.binary())])
 
     def merge(t: pa.Table) -> pa.Table:
         lists = [unpack_sorted(b).astype(np.int64) for b in t.column("cells").to_pylist()]
         count = np.zeros(1 << PAGE_BITS, np.int64)
         for c in lists:
             count += np.bincount(c, minlength=len(count))
-        hot = count >= 2
-        keep = [np.unique(c[hot[c]]) for c in lists]
-        some = [i for i, c in enumerate(keep) if len(c)]
+        flags = [(count >= 2)[np.unique(c)] for c in lists]
+        some = [i for i, f in enumerate(flags) if f.any()]
         return pa.Table.from_arrays([
             t.column("block").take(pa.array(some, pa.int64())), t.column("page").take(pa.array(some, pa.int64())),
-            pa.array([pack_sorted(keep[i]) for i in some], pa.binary())], schema=schema)
+            pa.array([np.packbits(flags[i]).tobytes() for i in some], pa.binary())], schema=schema)
 
-    return partial.groupBy("page").applyInArrow(merge, "block bigint, page bigint, cells binary")
+    return partial.groupBy("page").applyInArrow(merge, "block bigint, page bigint, hot binary")
 
 
 def _candidates(row: dict, sketch: Sketch, at: int, key: int, n: int) -> dict:
@@ -96,16 +99,20 @@ def _candidates(row: dict, sketch: Sketch, at: int, key: int, n: int) -> dict:
     if not row["hot"]:
         return {"batch": batch, "words": find_words(batch.column(at)), "start": np.zeros(0, np.int64), "h": np.zeros(0, _U)}
     w, wh, starts, h = _windows(batch, at, n)
-    live = np.arange(len(h))
+    live = np.ones(len(h), bool)
     for r in range(ROWS):
-        mine = sorted((x["page"] - r * sketch.pages, x["cells"]) for x in row["hot"] if x["page"] // sketch.pages == r)
-        hot = np.concatenate([unpack_sorted(c) + (_U(p) << _U(PAGE_BITS)) for p, c in mine] or [np.zeros(0, _U)])
-        cells = sketch.cells(h[live], r)
-        flag = np.zeros(1 << 22, bool)
-        flag[hot & _U((1 << 22) - 1)] = True
-        maybe = np.flatnonzero(flag[cells & _U((1 << 22) - 1)])
-        place = np.searchsorted(hot, cells[maybe])
-        live = live[maybe[(place < len(hot)) & (hot[np.minimum(place, len(hot) - 1)] == cells[maybe])]] if len(hot) else live[:0]
+        cells = sketch.cells(h, r)
+        order = np.argsort(cells)
+        cells = cells[order]
+        new = np.append(True, cells[1:] != cells[:-1]) if len(cells) else np.zeros(0, bool)
+        cuts = sketch.cuts(cells[new])
+        hot = np.zeros(int(new.sum()), bool)
+        for x in row["hot"]:
+            if x["page"] // sketch.pages == r:
+                a, b = cuts[x["page"] % sketch.pages], cuts[x["page"] % sketch.pages + 1]
+                hot[a:b] = np.unpackbits(np.frombuffer(x["hot"], np.uint8), count=b - a)
+        live[order] &= hot[np.cumsum(new) - 1]
+    live = np.flatnonzero(live)
     start, h = starts[live], h[live]
     h2 = np.zeros(len(start), _U)
     for j in range(n):
@@ -222,9 +229,9 @@ def remove_repeats(docs: DataFrame, n: int = 20, text: str = "text", doc_id: str
     at, key = kept.index(text), kept.index(doc_id)
     blocks = to_blocks(docs, text, "substring_blocks")
     sketch = Sketch.for_bytes(blocks.agg(F.sum("n_bytes")).first()[0] or 0)
-    bits = sketch.bits - PAGE_BITS
+    bits = (sketch.pages - 1).bit_length()
     cells = _repeated_cells(_sketch_pages(blocks, sketch, at, n))
-    hot = cells.groupBy(F.col("block").alias("h_block")).agg(F.collect_list(F.struct("page", "cells")).alias("hot"))
+    hot = cells.groupBy(F.col("block").alias("h_block")).agg(F.collect_list(F.struct("page", "hot")).alias("hot"))
     hot = stored(hot, "sketch_answers")
     some = blocks.select("block", "payload").join(hot.hint("shuffle_hash"), F.col("block") == F.col("h_block"))
     later = _later_places(_first_places(some.select("block", "payload", "hot"), sketch, at, key, n, bits))
