@@ -16,7 +16,7 @@ from touchline.llm.packing import one_batch, pack_planes, pack_sorted, per_block
 from touchline.llm.words import Words, cut_words, find_words, flagged_spans, mix, run_hashes, span_column, window_starts, word_hashes
 
 ROWS = 2  # of the sketch
-PAGE_BITS = 21  # cells of a page
+PAGE_BITS = 22  # cells of a page
 _U = np.uint64
 
 
@@ -81,10 +81,8 @@ def _repeated_cells(partial: DataFrame) -> DataFrame:
 
     def merge(t: pa.Table) -> pa.Table:
         lists = [unpack_sorted(b).astype(np.int64) for b in t.column("cells").to_pylist()]
-        count = np.zeros(1 << PAGE_BITS, np.int64)
-        for c in lists:
-            count += np.bincount(c, minlength=len(count))
-        flags = [(count >= 2)[np.unique(c)] for c in lists]
+        hot = np.bincount(np.concatenate(lists), minlength=1 << PAGE_BITS) >= 2
+        flags = [hot[c[np.append(True, c[1:] != c[:-1])]] for c in lists]
         some = [i for i, f in enumerate(flags) if f.any()]
         return pa.Table.from_arrays([
             t.column("block").take(pa.array(some, pa.int64())), t.column("page").take(pa.array(some, pa.int64())),
@@ -229,7 +227,7 @@ def remove_repeats(docs: DataFrame, n: int = 20, text: str = "text", doc_id: str
     at, key = kept.index(text), kept.index(doc_id)
     blocks = to_blocks(docs, text, "substring_blocks")
     sketch = Sketch.for_bytes(blocks.agg(F.sum("n_bytes")).first()[0] or 0)
-    bits = (sketch.pages - 1).bit_length()
+    bits = max(4, (sketch.pages - 1).bit_length() - 2)  # of buckets: fewer, as only some windows come so far
     cells = _repeated_cells(_sketch_pages(blocks, sketch, at, n))
     hot = cells.groupBy(F.col("block").alias("h_block")).agg(F.collect_list(F.struct("page", "hot")).alias("hot"))
     hot = stored(hot, "sketch_answers")
