@@ -8,8 +8,8 @@ from touchline.catalog import QUERIES as OWN
 
 QUERIES = {name: run for name, run in entry.queries().items() if name in OWN}
 SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
-SLOW = {"projection_metrics", "projection_scores", "projection_importances", "scouting_report", "reloaded_projection",
-        "model_gate", "compared_models"}  # covered with few trees in test_models
+# Two hundred trees of each kind: minutes each, covered with few trees in test_models.
+SLOW = {"compared_models", "temporal_predictions", "temporal_evaluation_mix", "market_value_models", "cross_validation"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

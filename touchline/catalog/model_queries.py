@@ -22,7 +22,7 @@ def fitted(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _fitted:
         _fitted[key] = plan.train_and_score(
-            pq.appearances(spark, sf), pq.players(spark, sf), pq.valuations(spark, sf), fx.AS_OF)
+            pq.linked(spark, sf), pq.players(spark, sf), pq.valuations(spark, sf), fx.AS_OF)
     return _fitted[key]
 
 
@@ -148,7 +148,7 @@ def market_value_rows(spark, sf):
     """Complete rows of the market-value model: performance and profile, 0/1 columns, log of the value as label."""
     df, _ = features.with_dummies(features.market_value_features(pq.players(spark, sf), pq.performance(spark, sf)))
     names = [*C.MARKET_VALUE_FEATURES, *[c for c in df.columns if c.startswith(("pos_", "foot_", "nat_"))]]
-    return models.assembled(df.na.drop(subset=names), names, "market_value_in_eur", "player_id")
+    return models.assembled(df.na.drop(subset=[*names, "target_market_value"]), names, "target_market_value", "player_id")
 
 
 @query("market_value_models", "ML-3 FE-7")

@@ -38,7 +38,8 @@ def valuations(spark, sf):
 
 
 def youth(spark, sf):
-    return P.youth_stats(appearances(spark, sf), players(spark, sf))
+    """As the projection plan: the linked appearances of the clean players, as recorded."""
+    return P.youth_stats(linked(spark, sf), players(spark, sf))
 
 
 def predictions(spark, sf):
@@ -101,7 +102,7 @@ CTES["q_youth"] = f"""
 SELECT *, {rnd('buts_jeune * 90.0e0 / minutes_jeune', 4)} AS goals_per_90_jeune, {rnd('passes_jeune * 90.0e0 / minutes_jeune', 4)} AS assists_per_90_jeune
 FROM (SELECT player_id, count(*) AS matchs_jeune, CAST(sum(goals) AS BIGINT) AS buts_jeune, CAST(sum(assists) AS BIGINT) AS passes_jeune,
     CAST(sum(minutes_played) AS BIGINT) AS minutes_jeune, min(age) AS age_premier_match, count(DISTINCT competition_id) AS nb_competitions_jeune
-  FROM (SELECT a.*, {_AGE.format(at='a.date', born='p.date_of_birth')} AS age FROM q_appearances a JOIN q_players p ON p.player_id = a.player_id) x
+  FROM (SELECT a.*, {_AGE.format(at='a.date', born='p.date_of_birth')} AS age FROM q_app_linked a JOIN q_players p ON p.player_id = a.player_id) x
   WHERE age BETWEEN 16 AND 21 GROUP BY 1) y WHERE minutes_jeune >= 500
 """
 CTES["q_club_values"] = f"""

@@ -18,7 +18,10 @@ def performance(appearances: DataFrame, players: DataFrame, first_day=C.PERFORMA
 STAGING = {"player_valuations": "valuations"}
 
 
-def build_player_marts(spark: SparkSession, snapshot: dict[str, DataFrame], aliases: DataFrame, as_of) -> None:
+def build_player_marts(
+    spark: SparkSession, snapshot: dict[str, DataFrame], aliases: DataFrame, as_of,
+    performance_since=C.PERFORMANCE_SINCE, linked_since=C.UNIFIED_SINCE,
+) -> None:
     """Write the staging and player tables from the typed snapshot tables."""
     writers.create_schemas(spark)
     raw = {}
@@ -35,9 +38,9 @@ def build_player_marts(spark: SparkSession, snapshot: dict[str, DataFrame], alia
     players = spark.table("marts_players.players")
     played = P.with_player_profile(clean.clean_appearances(raw["appearances"]), players)
     writers.replace_table(played, "marts_players.appearances")
-    writers.replace_table(performance(raw["appearances"], players), "marts_players.player_performance")
+    writers.replace_table(performance(raw["appearances"], players, performance_since), "marts_players.player_performance")
 
-    linked = P.link_appearances(raw["appearances"], raw["games"], aliases)
+    linked = P.link_appearances(raw["appearances"], raw["games"], aliases, linked_since)
     writers.replace_table(linked, "marts_players.appearances_unified")
     predictions = "marts_ml.predictions_projection_carriere"
     last = spark.table(predictions) if spark.catalog.tableExists(predictions) else None

@@ -37,7 +37,7 @@ def build_projection_marts(spark: SparkSession, as_of, model_path: str, trees: i
     writers.create_schemas(spark)
     projection, scored = train_and_score(
         spark.table("marts_players.appearances_unified"), spark.table("marts_players.players"),
-        spark.table("staging.stg_valuations"), as_of, trees,
+        spark.table("marts_players.player_valuations"), as_of, trees,
     )
     models.save_projection(projection, model_path, spark)
     writers.replace_table(output(scored), "marts_ml.predictions_projection_carriere")
