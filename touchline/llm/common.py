@@ -31,6 +31,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a stored table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z in lower case, every other character unchanged."""
     return F.translate(c, UPPER, LOWER)
@@ -57,7 +65,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
         )).alias("e")).select("e.*").filter("u <> v").distinct()
-        pairs = stored(small, "edges")
+        old, pairs = pairs, stored(small, "edges")
+        discard(old)
         now = pairs.agg(F.count("u"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before or now[0] == 0:
             break

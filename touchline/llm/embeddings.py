@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import components, stored
+from touchline.llm.common import components, discard, stored
 
 TABLES = 16  # random-projection orders that seed the neighbour lists in one pass
 LIST = 8  # neighbours kept for each vector; doubled while the last one is still near, up to LONGEST
@@ -261,7 +261,8 @@ def _of_width(classes: DataFrame, width: int, threshold: float) -> DataFrame:
             full = (F.size("near") == F.col("k")) & (F.element_at("near", -1)["d"] <= NEAR) & (F.col("k") < LONGEST)
             sizes = lists.select("a", F.when(full, F.col("k") * 2).otherwise(F.col("k")).alias("k"))
             old = lists.select("a", F.explode("near").alias("e")).select("a", "e.b", "e.d")
-            lists = stored(_lists(old.unionByName(_join_round(lists, points)), sizes), "lists")
+            last, lists = lists, stored(_lists(old.unionByName(_join_round(lists, points)), sizes), "lists")
+            discard(last)
             # settled once next to no list gets nearer or larger
             now = lists.agg(F.sum(F.aggregate("near", F.lit(0), lambda s, e: s + (128 - e["d"])))).first()[0] or 0
             if before is not None and now <= before * 1.005:
