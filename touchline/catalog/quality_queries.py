@@ -219,15 +219,19 @@ def snapshot_tables(spark, sf):
 
 
 def write_snapshot(spark, sf):
-    """The six tables as CSV files with headers."""
+    """The six tables as CSV files with headers; some names hold a comma, a line break and quotes."""
     root = scratch(spark, "snapshot")
     for name, df in snapshot_tables(spark, sf).items():
-        df.write.option("header", True).csv(f"{root}/{name}.csv")
+        if name == "players":
+            odd = F.concat("name", F.lit(',\n"x"'))
+            df = df.withColumn("name", F.when(F.col("player_id") % 50 == 0, odd).otherwise(F.col("name")))
+        df.write.options(header=True, quote='"', escape='"').csv(f"{root}/{name}.csv")
     return root
 
 
 @query("read_snapshot_players", "SRC-3 PRJ-2", """
-SELECT player_id, CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name, name, date_of_birth, position, CAST(NULL AS VARCHAR) AS sub_position, foot,
+SELECT player_id, CAST(NULL AS VARCHAR) AS first_name, CAST(NULL AS VARCHAR) AS last_name,
+  CASE WHEN player_id % 50 = 0 THEN name || ',' || chr(10) || '"x"' ELSE name END AS name, date_of_birth, position, CAST(NULL AS VARCHAR) AS sub_position, foot,
   height_in_cm, CAST(NULL AS VARCHAR) AS country_of_birth, country_of_citizenship, current_club_id, trim(current_club_name) AS current_club_name,
   current_club_domestic_competition_id, last_season, market_value_in_eur, highest_market_value_in_eur, international_caps, international_goals FROM fx_players
 """)
