@@ -514,7 +514,7 @@ def _(spark, sf):
 
 # --- statistics ---------------------------------------------------------------
 
-for _column in ("age_a_t1", "delta_pct"):
+for _column in ("age_a_t1", "delta_pct", "market_value_t1"):
     @query(f"describe_{_column}", "AG-12", f"""
 SELECT count({_column}) AS n, {rnd(f'avg({_column})', 1)} AS mean, {rnd(f'stddev_samp({_column})', 1)} AS std, min({_column}) AS min, max({_column}) AS max,
   {rnd(f'quantile_cont({_column}, 0.25)', 1)} AS q25, {rnd(f'quantile_cont({_column}, 0.5)', 1)} AS q50, {rnd(f'quantile_cont({_column}, 0.75)', 1)} AS q75 FROM q_temporal

@@ -53,9 +53,10 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, floa
     """One row: the exact interpolated quantile of a column for each name.
 
     Approximate percentiles a little below and above each rank, with a proven
-    rank error of 1 / ``accuracy``, enclose it. Rows below collapse to a count
-    and their largest value in every map task, rows above are dropped, equal
-    values between collapse to a count; only those few are ordered.
+    rank error of 1 / ``accuracy``, enclose it to one neighbour. In every map
+    task rows below collapse to a count and their largest value, rows above to a
+    count and their smallest, equal values between to a count; only those few
+    are ordered, whatever the tail of the column.
     """
     slack = 2.0 / accuracy
     edges = [p for q in probabilities.values() for p in (max(0.0, q - slack), min(1.0, q + slack))]
@@ -68,10 +69,11 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, floa
         for i, (name, q) in enumerate(probabilities.items())
     ]))
     rows = v.withColumn("limits", limits.scalar()).select("v", F.col("limits.total").alias("total"), wanted.alias("w"))
-    rows = rows.filter(F.col("v") <= F.col("w.high")).select("v", "total", "w.name", "w.q", "w.low")
-    place = F.when(F.col("v") >= F.col("low"), F.col("v"))  # NULL: below the enclosure
-    counts = rows.groupBy("name", "q", "total", place.alias("place")).agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v"))
-    upto = Window.partitionBy("name").orderBy(F.col("place").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    zone = F.when(F.col("v") < F.col("w.low"), -1).when(F.col("v") > F.col("w.high"), 1).otherwise(0)
+    rows = rows.select("v", "total", "w.name", "w.q", zone.alias("zone"), F.when(zone == 0, F.col("v")).alias("place"))
+    counts = rows.groupBy("name", "q", "total", "zone", "place").agg(
+        F.count(F.lit(1)).alias("n"), F.when(F.col("zone") > 0, F.min("v")).otherwise(F.max("v")).alias("v"))
+    upto = Window.partitionBy("name").orderBy("zone", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = counts.withColumn("last", F.sum("n").over(upto)).withColumn("at", (F.col("total") - 1) * F.col("q"))
     ranks = counts.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
     hit = ranks.filter((F.col("rank") < F.col("last")) & (F.col("rank") >= F.col("last") - F.col("n")))
