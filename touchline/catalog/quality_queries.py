@@ -27,7 +27,8 @@ def _(spark, sf):
     for t in ("players", "games"):
         df = pq.raw(spark, sf, t)
         verdict = quality.check_required_columns(df, schemas.SNAPSHOT_REQUIRED[t], t)
-        one = verdict.join(stats.table_volumes({t: df}), "table").withColumn("missing", F.array_join("missing", ","))
+        n_rows = stats.table_volumes({t: df}).select("n_rows").scalar()
+        one = verdict.withColumns({"missing": F.array_join("missing", ","), "n_rows": n_rows})
         out = one if out is None else out.union(one)
     return out
 
