@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from touchline.llm.common import stored
+from touchline.llm.common import discard, stored
 
 # A word is a run of letters (with their combining marks), in lower case.
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -89,9 +89,22 @@ def _gram_counts(words: DataFrame) -> DataFrame:
 
 
 def _most_frequent(counts: DataFrame, item: str, kept: int) -> list:
-    """The ``kept`` items with the highest counts over all languages, with their count in each."""
+    """Items with the highest counts over all languages, at most ``kept``, with their count in each.
+
+    A histogram of the counts, a hundred steps to a factor of e, gives the lowest
+    step from which no more than ``kept`` items come; only those are collected.
+    """
     per_item = counts.groupBy(item).agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-    return per_item.orderBy(F.col("total").desc(), item).limit(kept).collect()
+    per_item = per_item.withColumn("step", F.floor(F.log("total") * 100))
+    room, lowest = kept, None
+    for r in per_item.groupBy("step").agg(F.count(F.lit(1)).alias("items")).orderBy(F.col("step").desc()).collect():
+        room -= r["items"]
+        if room < 0:
+            break
+        lowest = r["step"]
+    if lowest is None:
+        return []
+    return sorted(per_item.filter(F.col("step") >= lowest).drop("step").collect(), key=lambda r: (-r["total"], r[item]))
 
 
 @dataclass
@@ -143,8 +156,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     most frequent items reach the driver, so the model has a bound of its own.
     """
     counts = stored(_counted(docs, lang, text), "word_counts")
-    langs = [r[0] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang").limit(1000).select("lang").collect()]
-    langs = sorted(langs)
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())  # the labels
     place = {name: i for i, name in enumerate(langs)}
     rows: list[np.ndarray] = []
 
@@ -174,6 +186,8 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     for size in range(1, LONGEST + 1):
         items = _most_frequent(gram_counts.filter(F.length("gram") == size), "gram", KEPT_GRAMS)
         grams.append(table(items, "gram", totals_of(items)))
+    discard(gram_counts)
+    discard(counts)
     return Model(langs, words, grams, np.array(rows).reshape(len(rows), len(langs)))
 
 
