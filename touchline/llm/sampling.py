@@ -6,13 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from touchline.llm.common import WORD, stored
 
-# Steps of the selection order: only the step in which a source reaches its target is ordered row by row.
+# Steps of the selection order: only a step that does not fit whole is ordered row by row.
 STEPS = 1 << 16
-# Documents of a source that may fill the gap before one that is too long for it.
-MORE = 64
 
 
 def size_in_words(text: Column) -> Column:
@@ -68,6 +67,32 @@ def _ranked(rows: DataFrame) -> DataFrame:
         "m_step", F.least(F.floor(rank * STEPS), F.lit(STEPS - 1)))
 
 
+def _cut(rows: DataFrame, room: str) -> DataFrame:
+    """How many documents of each source fit into its ``room`` in their order: ``source``, ``step``, ``cut``, ``taken``.
+
+    They are those of a step before ``step`` and those up to the key ``cut``, and
+    have ``taken`` words; ``step`` is null if all fit. Words are summed by step,
+    and only the step that does not fit whole is sorted.
+    """
+    steps = rows.groupBy("m_source", "m_step").agg(F.sum("m_size").alias("words"), F.max(room).alias("room"))
+    upto = Window.partitionBy("m_source").orderBy("m_step").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # STEPS rows at most
+    steps = steps.withColumn("upto", F.sum("words").over(upto))
+    fits = F.coalesce(F.col("upto") <= F.col("room"), F.lit(True))
+    last = stored(steps.groupBy(F.col("m_source").alias("source")).agg(
+        F.min(F.when(~fits, F.col("m_step"))).alias("c_step"), F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("before")), "steps")
+
+    inside = _with(rows, _per_source(last)).filter(F.col("m_step") == F.col("c_step"))
+    by = Window.partitionBy("m_source").orderBy("m_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one step of a source
+    inside = inside.withColumn("upto", F.col("before") + F.sum("m_size").over(by)).filter(F.col("upto") <= F.col(room))
+    cut = inside.groupBy(F.col("m_source").alias("k_source")).agg(F.max("m_key").alias("cut"), F.max("upto").alias("upto"))
+    out = last.join(cut, F.col("source").eqNullSafe(F.col("k_source")), "left")
+    return stored(out.select("source", F.col("c_step").alias("step"), "cut", F.coalesce("upto", "before").alias("taken")), "cut")
+
+
+def _fill_type(cut: DataFrame) -> StructType:
+    return StructType([StructField("room", DoubleType()), StructField("step", cut.schema["step"].dataType), StructField("cut", cut.schema["cut"].dataType)])
+
+
 def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: float = 2.0, seed: int = 17,
                text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``.
@@ -78,9 +103,12 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     of a uniform number U, taken from a hash of the id, over the odds of p, and
     takes the first. The fixed size is in words: documents are taken while they
     fit what whole copies leave of the target. Where the next one is too long,
-    those after it that fit follow, in the same order and at most ``MORE``; then
-    the one whose size comes nearest to what is missing joins them or takes their
-    place, if that meets the target better.
+    those of at most half of what is missing follow, in the same order while they
+    fit. That leaves less than half missing, or no such document, and is repeated
+    until there is none; then the one whose size comes nearest to what is missing
+    joins them or takes the place of all that filled the gap, if that meets the
+    target better. So a source misses its target by at most half of the shortest
+    document that the filling leaves.
 
     Null texts have size 0 and are drawn like others; null sources are a source
     of their own; a source without words or weight gives no copies. Rows with
@@ -88,7 +116,7 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     Columns of ``docs`` with the names of the new ones are replaced. Reruns
     agree, as nothing but ids, texts and sizes decides. A hot source is not
     gathered: words are summed by step of the order, and only the one step in
-    which a source reaches its target is sorted row by row. No text is shuffled.
+    which a source reaches its target or fills a gap is sorted row by row. No text is shuffled.
     """
     u = (F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
     kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
@@ -101,42 +129,35 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     goal = goal.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
     goal = stored(goal.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
 
-    ranked = _ranked(_with(slim, _per_source(goal)))
-    steps = ranked.groupBy("m_source", "m_step").agg(F.sum("m_size").alias("words"), F.max("missing").alias("missing"))
-    upto = Window.partitionBy("m_source").orderBy("m_step").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # STEPS rows at most
-    steps = steps.withColumn("upto", F.sum("words").over(upto)).filter(F.col("upto") > F.col("missing"))
-    last = steps.groupBy(F.col("m_source").alias("source")).agg(
-        F.min("m_step").alias("step"), F.min(F.col("upto")).alias("upto"), F.min_by("words", "m_step").alias("words"))
-    last = stored(last.select("source", "step", (F.col("upto") - F.col("words")).alias("before")), "steps")
-
-    room = _with(ranked, _per_source(last)).filter(F.col("m_step") == F.col("step"))
-    by = Window.partitionBy("m_source").orderBy("m_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one step of a source
-    room = room.withColumn("taken", F.col("before") + F.sum("m_size").over(by)).filter(F.col("taken") <= F.col("missing"))
-    cut = room.groupBy(F.col("m_source").alias("source")).agg(F.max("m_key").alias("cut"), F.max("taken").alias("taken"))
-    plan = goal.join(last.withColumnRenamed("source", "l_source"), F.col("source").eqNullSafe(F.col("l_source")), "left").drop("l_source")
-    plan = plan.join(cut.withColumnRenamed("source", "c_source"), F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
-    gap = F.col("missing") - F.coalesce("taken", "before", F.col("missing"))
-    plan = stored(plan.select("source", "source_size", "target", "whole", "p", "step", "cut", gap.alias("gap")), "cuts")
+    first = _cut(_ranked(_with(slim, _per_source(goal))), "missing")
+    plan = goal.join(first.withColumnRenamed("source", "c_source"), F.col("source").eqNullSafe(F.col("c_source")), "left")
+    gap = F.when(F.col("step").isNull(), F.lit(0.0)).otherwise(F.col("missing") - F.col("taken"))
+    plan = stored(plan.select("source", "source_size", "target", "whole", "p", "step", "cut", gap.alias("gap"), gap.alias("left"),
+                              F.array().cast(ArrayType(_fill_type(first))).alias("fills")), "cuts")
 
     chosen = F.when(F.col("step").isNull(), F.col("p") > 0).otherwise(
         (F.col("m_step") < F.col("step")) | F.coalesce(F.col("m_key") <= F.col("cut"), F.lit(False)))
-    units = _ranked(_with(slim, _per_source(plan.filter((F.col("gap") > 0) & (F.col("p") > 0))))).filter("gap is not null")
-    order = Window.partitionBy("m_source").orderBy("m_key")
-    fits = units.filter(~chosen & (F.col("m_size") > 0) & (F.col("m_size") <= F.col("gap")))
-    fits = fits.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= MORE)
-    fits = fits.withColumn("sum", F.sum("m_size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    fits = fits.filter(F.col("sum") <= F.col("gap")).groupBy(F.col("m_source").alias("source")).agg(
-        F.collect_list("m_key").alias("more"), F.max("sum").alias("filled"))
-    plan = stored(plan.join(fits.withColumnRenamed("source", "f_source"), F.col("source").eqNullSafe(F.col("f_source")), "left").drop("f_source"), "fits")
+    filler = F.exists("fills", lambda f: (F.col("m_size") > 0) & (2 * F.col("m_size") <= f["room"]) & (
+        f["step"].isNull() | (F.col("m_step") < f["step"]) | F.coalesce(F.col("m_key") <= f["cut"], F.lit(False))))
+    while True:
+        short = _ranked(_with(slim, _per_source(plan.filter((F.col("left") > 0) & (F.col("p") > 0))))).filter("left is not null")
+        short = short.filter(~chosen & ~filler & (F.col("m_size") > 0) & (2 * F.col("m_size") <= F.col("left")))
+        fill = _cut(short.select("m_source", "m_step", "m_key", "m_size", "left"), "left")
+        if not fill.count():
+            break
+        fill = fill.select(F.col("source").alias("f_source"), F.col("taken").alias("f_taken"), F.col("step").alias("f_step"), F.col("cut").alias("f_cut"))
+        plan = plan.join(fill, F.col("source").eqNullSafe(F.col("f_source")) & F.col("f_taken").isNotNull(), "left")
+        more = F.array(F.struct(F.col("left").alias("room"), F.col("f_step").alias("step"), F.col("f_cut").alias("cut")))
+        plan = stored(plan.select(
+            "source", "source_size", "target", "whole", "p", "step", "cut", "gap", (F.col("left") - F.coalesce("f_taken", F.lit(0))).alias("left"),
+            F.when(F.col("f_taken").isNull(), F.col("fills")).otherwise(F.concat("fills", more)).alias("fills")), "fills")
 
     # the last document joins those that filled the gap, or takes their place if it meets the target better
-    filler = F.coalesce(F.array_contains("more", F.col("m_key")), F.lit(False))
     rest = _ranked(_with(slim, _per_source(plan))).filter((F.col("p") > 0) & ~chosen)
-    left = F.col("gap") - F.coalesce("filled", F.lit(0))
     rest = rest.withColumn("way", F.explode(F.array(
-        F.struct(F.lit(False).alias("alone"), F.when(~filler, F.abs(F.col("m_size") - left)).alias("off")),
+        F.struct(F.lit(False).alias("alone"), F.when(~filler, F.abs(F.col("m_size") - F.col("left"))).alias("off")),
         F.struct(F.lit(True).alias("alone"), F.abs(F.col("m_size") - F.col("gap")).alias("off")))))
-    rest = rest.filter(F.col("way.off") < left)
+    rest = rest.filter(F.col("way.off") < F.col("left"))
     close = rest.groupBy(F.col("m_source").alias("source")).agg(F.min_by(
         F.struct(F.col("m_key").alias("key"), F.col("way.alone").alias("alone")), F.struct("way.off", "way.alone", "m_key")).alias("close"))
     plan = stored(plan.join(close.withColumnRenamed("source", "n_source"), F.col("source").eqNullSafe(F.col("n_source")), "left").drop("n_source"), "mix")
