@@ -1,5 +1,6 @@
 """The registered queries: equal to their check SQL, or to a brute-force version of the whole table."""
 
+import hashlib
 import re
 import zlib
 
@@ -23,8 +24,8 @@ def test_equals_sql(name, spark, sf, con):
     assert difference(entry.queries()[name](spark, sf), con, ORACLE_SQL[name]) is None
 
 
-def test_all_ten_and_the_pipeline():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+def test_all_operators_and_the_pipeline():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(QUERIES) <= set(entry.queries())
 
 
@@ -112,3 +113,85 @@ def test_op9_equals_brute_force(spark, sf):
             break
         label = new
     assert [got.component_id[i] for i in ids] == [ids[k] for k in label]
+
+
+def phrases(text):
+    """LZ78 phrases of the bytes of a text, one byte at a time."""
+    seen, open_ = set(), b""
+    for b in text.encode():
+        open_ += bytes([b])
+        if open_ not in seen:
+            seen.add(open_)
+            open_ = b""
+    return seen
+
+
+def jaccard(x, y):
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_op12_equals_brute_force(spark, sf):
+    docs = read(sf, "documents").sort_values("doc_id").reset_index(drop=True)
+    got = entry.queries()["op12_lempel_ziv_fingerprints"](spark, sf).toPandas().set_index("doc_id")
+    assert sorted(got.index) == list(docs.doc_id)
+    apart = []
+    for k, (i, t) in enumerate(zip(docs.doc_id, docs.text)):
+        after, r = docs.text[(k + 1) % len(docs)], got.loc[i]
+        edited = t[:len(t) - len(t) // 4] + after[:len(t) // 4]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.fingerprint == lempel_print(t) and r.edited_fingerprint == lempel_print(edited)
+        apart += [r.near_edited - jaccard(phrases(t), phrases(edited)), r.near_next - jaccard(phrases(t), phrases(after))]
+    # 64 hashes tell a share to a standard error of 0.06 at most
+    assert np.abs(apart).max() < 0.25 and np.std(apart) < 0.06 and abs(np.mean(apart)) < 0.01
+    assert (got.near_edited > got.near_next).mean() > 0.98
+    assert len(set(zip(docs.text, got.fingerprint.reindex(docs.doc_id)))) == docs.text.nunique()
+
+
+def lempel_print(text):
+    from touchline.llm import lempel
+
+    tree = {}
+    lempel.read_phrases(text.encode(), tree)
+    assert len(tree) == len(phrases(text))
+    return lempel.packed(lempel.smallest(lempel.phrase_hashes([tree])[0])).hex()
+
+
+def runs_of(words, least=12):
+    """Runs by comparing the words with themselves at every distance."""
+    number = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    x, out = np.array([number[w] for w in words], int), {}
+    for q in range(1, len(x) // 2 + 1):
+        same = np.concatenate([[0], x[q:] == x[:-q], [0]]).astype(int)
+        edge = np.flatnonzero(np.diff(same))
+        for s, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            if e - s + q >= max(least, 2 * q):
+                out.setdefault((s, e + q), q)  # the smallest period comes first
+    return sorted((s, e - s, q) for (s, e), q in out.items())
+
+
+def test_op13_equals_brute_force(spark, sf):
+    docs = read(sf, "documents")
+    got = entry.queries()["op13_periodic_runs"](spark, sf).toPandas().set_index("doc_id")
+    assert len(got) == len(docs)
+    total = 0
+    for i, t in zip(docs.doc_id, docs.text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        h, n = zlib.crc32(str(i).encode()), len(words)
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[k] if k < a else words[a + (k - a) % p] for k in range(n)]
+        found, r = runs_of(words), got.loc[i]
+        total += len(found)
+        gone = {k for s, m, q in found for k in range(s + q, s + m)}
+        kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+        assert r.n_runs == len(found)
+        assert r.runs_sha256 == hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in found).encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+        if found:
+            s, m, q = min(found, key=lambda f: (-f[1], f[0], f[2]))
+            assert (r.start, r.length, r.period, r.exponent_milli) == (s, m, q, 1000 * m // q)
+        else:
+            assert pd.isna(r.start) and pd.isna(r.length) and pd.isna(r.period) and pd.isna(r.exponent_milli)
+    assert total > 15

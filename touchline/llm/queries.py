@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, decontamination, embeddings, langid, quality, sampling, simhash, substrings, tokens, urls
+from touchline.llm import chat, decontamination, embeddings, langid, lempel, negatives, quality, runs, sampling, simhash, substrings, tokens, urls
 from touchline.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,6 +189,63 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.match_rules(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op12_lempel_ziv_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lempel.compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by checksum of its id, made periodic from one of its words on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    docs = docs.withColumns({"words": words, "g": F.floor(h / 10)})
+    n = F.size("words")
+    docs = docs.withColumn("a", F.when(n > 0, F.col("g") % n))
+    docs = docs.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    planted = F.transform("words", lambda w, i: F.when(
+        i >= F.col("a"), F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))).otherwise(w))
+    return docs.withColumn("text", F.when(F.col("a").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text"))).select("doc_id", "text")
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    out = out.withColumn("best", best)
+    length, period = F.col("best.l"), -F.col("best.p")
+    return out.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.s")).alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
