@@ -1,6 +1,9 @@
 """Readers, snapshot admission and the incremental job on small files."""
 
+import csv
+import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,7 @@ from pyspark.sql import functions as F
 from touchline import schemas
 from touchline.operators import matches as M
 from touchline.plans import clubs as club_plan
-from touchline.sources import files, readers, snapshots, writers
+from touchline.sources import files, readers, records, snapshots, writers
 from touchline.streaming import incremental
 
 
@@ -119,18 +122,56 @@ def test_snapshot_with_missing_column_is_an_error(spark, tmp_path):
         readers.read_snapshot(spark, str(tmp_path))
 
 
+def statuses(spark, now, before):
+    return {r["file"]: (r["status"], r["lines_before"], r["lines_now"]) for r in files.detect_changed_files(now, before).collect()}
+
+
 def test_changed_files(spark, tmp_path):
     root = tmp_path / "raw"
-    root.mkdir()
-    for name, text in (("a", "1"), ("b", "2"), ("c", "3")):
+    (root / "sub").mkdir(parents=True)
+    for name, text in (("a", "1\n2\n"), ("b", "2\n"), ("c", "3"), ("sub/a", "x\ny\nz"), ("swap", "one\ntwo\nthree\n"), ("empty", "")):
         (root / f"{name}.csv").write_text(text)
-    files.manifest(spark, str(root)).write.parquet(str(tmp_path / "before"))
+    files.manifest(spark, str(root), "*.csv").write.parquet(str(tmp_path / "before"))
     before = spark.read.parquet(str(tmp_path / "before"))
-    (root / "b.csv").write_text("changed")
-    (root / "d.csv").write_text("new")
-    now = files.manifest(spark, str(root)).filter(~F.col("path").endswith("c.csv"))
-    out = {r["path"].rsplit("/", 1)[1]: r["status"] for r in files.detect_changed_files(now, before).collect()}
-    assert out == {"a.csv": "unchanged", "b.csv": "updated", "c.csv": "absent", "d.csv": "updated"}
+    (root / "a.csv").write_text("1\n2\n")  # written anew with the same content
+    (root / "b.csv").write_text("changed\n")
+    (root / "sub/a.csv").write_text("x\ny\nz\n")  # only the last line break is new
+    (root / "swap.csv").write_text("one\nthree\ntwo\n")
+    (root / "c.csv").unlink()
+    (root / "d.csv").write_text("new\n")
+    (root / "other.txt").write_text("not asked for")
+    assert statuses(spark, files.manifest(spark, str(root), "*.csv"), before) == {
+        "a.csv": ("unchanged", 2, 2), "b.csv": ("updated", 1, 1), "c.csv": ("absent", 1, None), "d.csv": ("updated", None, 1),
+        "sub/a.csv": ("updated", 3, 3), "swap.csv": ("updated", 3, 3)}  # an empty file is not seen
+
+
+@pytest.fixture
+def pieces(spark):
+    """Sets how many bytes of a file a task reads."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    yield lambda n: spark.conf.set(key, str(n))
+    spark.conf.set(key, before)
+
+
+def test_marks_do_not_depend_on_how_a_file_is_cut(spark, tmp_path, pieces):
+    lines = [f"line {k * 7919 % 1000} " + "x" * (k % 40) for k in range(400)]
+    text = "\n".join(lines) + "\r\n\n"
+    (tmp_path / "one.csv").write_text(text, newline="")
+    (tmp_path / "same.csv").write_text(text, newline="")
+    (tmp_path / "swapped.csv").write_text("\n".join([*lines[:200], lines[201], lines[200], *lines[202:]]) + "\r\n\n", newline="")
+    parts = tmp_path / "parts.csv"
+    parts.mkdir()
+    (parts / "part-0.csv").write_text("\n".join(lines[:150]) + "\n")
+    (parts / "part-1.csv").write_text("\n".join(lines[150:]) + "\r\n\n", newline="")
+    seen = set()
+    for n in (100, 333, 1 << 20):
+        pieces(n)
+        got = {r["file"]: r["fingerprint"] for r in files.manifest(spark, str(tmp_path), "*.csv", r"(\w+)\.csv").collect()}
+        assert got["one"] == got["same"] != got["swapped"] and set(got) == {"one", "same", "swapped", "parts"}
+        assert got["parts"] == got["one"]  # a folder of parts counts as one file
+        seen.add(tuple(sorted(got.items())))
+    assert len(seen) == 1
 
 
 def test_inventory(spark, feed, seasons):
@@ -140,38 +181,141 @@ def test_inventory(spark, feed, seasons):
     assert {r["path"].rsplit("/", 1)[1]: (r["records"], r["n_columns"]) for r in csvs}["season-2324.csv"] == (2, 7)
 
 
+def land(tmp_path, number, **named):
+    folder = tmp_path / f"in/{number}"
+    folder.mkdir(parents=True)
+    for name, content in named.items():
+        (folder / f"{name}.json").write_text(content if isinstance(content, str) else json.dumps(content, indent=1))
+
+
+class Store:
+    def __init__(self, spark, tmp_path):
+        self.spark, self.path = spark, str(tmp_path / "store")
+        self.feed, self.checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+        self.aliases = spark.createDataFrame([("A", "A")], "alias string, canonical string")
+
+    def run(self):
+        incremental.incremental_matches(self.spark, self.feed, self.path, self.checkpoint, self.aliases)
+        return self.tables()
+
+    def tables(self):
+        rows = incremental.current_standings(self.spark, self.path).collect()
+        return {(r["competition"], r["season"], r["club_name"]): (r["matchs_joues"], r["points"], r["buts_marques"], r["buts_encaisses"]) for r in rows}
+
+
 def test_incremental_feed(spark, tmp_path):
-    feed, store, checkpoint = (str(tmp_path / n) for n in ("in", "store", "checkpoint"))
-    aliases = spark.createDataFrame([("A", "A")], "alias string, canonical string")
-    (tmp_path / "in").mkdir()
-
-    def run():
-        incremental.incremental_matches(spark, feed, store, checkpoint, aliases)
-        rows = incremental.current_standings(spark, store).collect()
-        return {(r["competition"], r["club_name"]): (r["matchs_joues"], r["points"]) for r in rows}
-
-    (tmp_path / "in/PL_1.json").write_text(json.dumps(doc("PL", match(1, "A", "B", 2, 1)), indent=1))
-    (tmp_path / "in/PD_1.json").write_text(json.dumps(doc("PD", match(2, "E", "F", 0, 0)), indent=1))
-    first = run()
-    assert first[("PL", "A")] == (1, 3) and first[("PD", "E")] == (1, 1)
-    assert run() == first  # nothing new
-    # the same match again, and a new one of the same season
-    (tmp_path / "in/PL_2.json").write_text(json.dumps(doc("PL", match(1, "A", "B", 2, 1), match(3, "B", "A", 0, 1, day="2024-09-01")), indent=1))
-    third = run()
-    assert third[("PL", "A")] == (2, 6) and third[("PL", "B")] == (2, 0) and third[("PD", "E")] == (1, 1)
-    # a corrected score wins over the earlier one, and a season whose only match is cancelled loses its table
-    (tmp_path / "in/PL_3.json").write_text(json.dumps(doc("PL", match(1, "A", "B", 0, 1)), indent=1))
-    (tmp_path / "in/PD_2.json").write_text(json.dumps(doc("PD", match(2, "E", "F", 99, 0)), indent=1))
-    fourth = run()
-    assert fourth[("PL", "A")] == (2, 3) and fourth[("PL", "B")] == (2, 3) and ("PD", "E") not in fourth
-    touched = spark.createDataFrame([("PL", 2024)], "competition string, season int")
-    plan = incremental.touched_matches(spark, store, touched)._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters: ["):]
-    assert "= PL)" in filters[: filters.index("]")] and "= 2024)" in filters[: filters.index("]")]  # only the touched folders are read
+    store = Store(spark, tmp_path)
+    land(tmp_path, 1, PL=doc("PL", match(1, "A", "B", 2, 1), match(2, "C", "D", 1, 0)), PD=doc("PD", match(3, "E", "F", 0, 0)))
+    first = store.run()
+    assert first == {("PL", 2024, "A"): (1, 3, 2, 1), ("PL", 2024, "B"): (1, 0, 1, 2), ("PL", 2024, "C"): (1, 3, 1, 0),
+                     ("PL", 2024, "D"): (1, 0, 0, 1), ("PD", 2024, "E"): (1, 1, 0, 0), ("PD", 2024, "F"): (1, 1, 0, 0)}
+    written = sorted((tmp_path / "store").rglob("*.parquet"))
+    assert store.run() == first and sorted((tmp_path / "store").rglob("*.parquet")) == written  # nothing new
+
+    # the first match moved by a day, the second was called off, in a new version of the file;
+    # the stored files of the other league cannot even be read
+    hidden = {f: f.read_bytes() for f in written if "competition=PD" in str(f)}
+    assert len(hidden) == 2
+    for f in hidden:
+        f.write_bytes(b"garbage")
+        f.with_name(f".{f.name}.crc").unlink()
+    land(tmp_path, 2, PL=doc("PL", match(1, "A", "B", 2, 1, day="2024-08-18"), match(2, "C", "D", None, None, "CANCELLED")))
+    incremental.incremental_matches(spark, store.feed, store.path, store.checkpoint, store.aliases)
+    for f, content in hidden.items():
+        f.write_bytes(content)
+    second = {k: v for k, v in first.items() if k[2] not in "CD"}
+    assert store.tables() == second
+
+    # a file that does not parse changes nothing, one without matches withdraws them
+    land(tmp_path, 3, PL="{ not json", PD=doc("PD"))
+    third = {k: v for k, v in second.items() if k[0] == "PL"}
+    assert store.run() == third
+    # another file lists a known game with another day and score: the game counts once
+    land(tmp_path, 4, PL_late=doc("PL", match(1, "A", "B", 0, 3, day="2024-09-01")))
+    fourth = store.run()
+    assert fourth == {("PL", 2024, "A"): (1, 0, 0, 3), ("PL", 2024, "B"): (1, 3, 3, 0)}
+    # that file goes empty: the older one counts again
+    land(tmp_path, 5, PL_late=doc("PL"))
+    assert store.run() == third
+    for number in (3, 4):  # a batch done twice gives the same
+        incremental.apply_batch(spark, store.path, number)
+    assert store.tables() == third
+
+
+def test_incremental_equals_rebuild(spark, tmp_path):
+    """Files that come, change, overlap and go: after each batch the tables are those of the current versions."""
+    rng, store, current = random.Random(5), Store(spark, tmp_path), {}
+    for number in range(3):
+        named = {}
+        for name in rng.sample("abcdef", 3):
+            code, season = rng.choice(["PL", "PD"]), rng.choice([2023, 2024])
+            rows = []
+            for _ in range(rng.randrange(6)):
+                game = match(rng.randrange(8), *rng.sample("VWXYZ", 2), rng.randrange(4), rng.randrange(25), rng.choice(["FINISHED", "FINISHED", "TIMED"]),
+                             f"2024-0{rng.randrange(1, 4)}-01")
+                rows.append({**game, "season": {"startDate": f"{season}-08-01"}})
+            named[name] = doc(code, *rows)
+        land(tmp_path, number, **named)
+        got = store.run()
+        stamps = {name: (tmp_path / f"in/{number}/{name}.json").stat().st_mtime_ns // 1000 for name in named}
+        for name, d in named.items():
+            current[name] = (number, stamps[name], f"{number}/{name}", d)
+        newest, want = {}, {}
+        for b, t, v, d in current.values():
+            for m in d["matches"]:
+                key = (d["competition"]["code"], int(m["season"]["startDate"][:4]), m["id"])
+                newest[key] = max(newest.get(key, (b, t, v)), (b, t, v))
+        chosen = {}
+        for b, t, v, d in current.values():
+            for m in d["matches"]:
+                league = (d["competition"]["code"], int(m["season"]["startDate"][:4]))
+                if newest[(*league, m["id"])] == (b, t, v) and m["status"] == "FINISHED":
+                    home, away, full = m["homeTeam"]["name"], m["awayTeam"]["name"], m["score"]["fullTime"]
+                    at = (*league, m["utcDate"][:10], home, away)
+                    chosen[at] = min(chosen.get(at, (99, 99)), (full["home"], full["away"]))
+        for (code, season, _, home, away), (h, a) in chosen.items():
+            if a <= 20:
+                for club, f, g in ((home, h, a), (away, a, h)):
+                    n, p, x, y = want.get((code, season, club), (0, 0, 0, 0))
+                    want[(code, season, club)] = (n + 1, p + (3 if f > g else 1 if f == g else 0), x + f, y + g)
+        assert got == want
 
 
 def test_quoted_line_breaks(spark, tmp_path):
     (tmp_path / "t.csv").write_text('a,"b,c"\n1,"two\nlines, and ""quotes"""\n2,x\n')
-    assert [tuple(r) for r in readers.read_snapshot_table(spark, str(tmp_path), "t").collect()] == [("1", 'two\nlines, and "quotes"'), ("2", "x")]
+    assert sorted(tuple(r) for r in readers.read_snapshot_table(spark, str(tmp_path), "t").collect()) == [("1", 'two\nlines, and "quotes"'), ("2", "x")]
     row = files.file_inventory(spark, str(tmp_path)).first()
     assert (row["records"], row["n_columns"]) == (2, 2)
+
+
+def test_records_over_any_cut(spark, tmp_path, pieces):
+    """A file of quoted line breaks, commas and quotes, cut anywhere: the records are those of a plain CSV reader."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(40):
+        word = rng.choice(["plain", 'say ""hi""', "a,b", "two\nlines", "\n\n", 'x\n"" y\n', "long\n" * 9, "\u00e9\n\u4f60"])
+        rows.append(f'{k},"{word}",{rng.choice(["", "end", chr(34) + "q" + chr(34)])}')
+    text = "id,text,last\n" + "\n".join(rows) + "\n"
+    (tmp_path / "t.csv").mkdir()
+    (tmp_path / "t.csv/big.csv").write_text(text)
+    (tmp_path / "t.csv/small.csv").write_text('last,id\r\n"z\r\nz",100\r\n')  # other columns, other line ends
+    want = [(r[0], r[1], r[2] or None) for r in list(csv.reader(io.StringIO(text)))[1:]] + [("100", None, "z\r\nz")]
+    for n in (23, 64, 1 << 20):
+        pieces(n)
+        out = readers.read_snapshot_table(spark, str(tmp_path), "t")
+        assert sorted(out.columns) == ["id", "last", "text"]
+        got = out.select("id", "text", "last").collect()
+        assert sorted(map(tuple, got), key=lambda r: int(r[0])) == want
+        assert sorted(r["records"] for r in files.csv_inventory(spark, str(tmp_path)).collect()) == [1, 40]
+    pieces(64)
+    lines = records.read_lines(spark, str(tmp_path), "big.csv")
+    assert lines.rdd.getNumPartitions() >= len(text) // 64  # one file, many tasks
+
+
+def test_a_quote_left_open_and_no_file(spark, tmp_path, pieces):
+    pieces(9)
+    (tmp_path / "t.csv").write_text('a,b\n1,2\n3,"open\n5,6\n7,8')
+    got = records.csv_records(records.read_lines(spark, str(tmp_path))).collect()
+    assert sorted(r["record"] for r in got) == ["1,2", '3,"open\n5,6\n7,8', "a,b"]
+    (tmp_path / "none").mkdir()
+    assert records.csv_records(records.read_lines(spark, str(tmp_path / "none"))).count() == 0

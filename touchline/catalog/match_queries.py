@@ -136,13 +136,10 @@ _ORDER = "points DESC, diff_buts DESC, buts_marques DESC"
 # --- sources -----------------------------------------------------------------
 
 
-@query("read_match_feed", "SRC-1 PRJ-1", "SELECT * FROM fx_feed")
-def _(spark, sf):
-    """Feed documents written one per line, read back and flattened."""
-    text = F.col
-    df = feed(spark, sf)
-    team = lambda side: F.struct(text(f"{side}_club_id").alias("id"), text(f"{side}_club_name").alias("name"))
-    match = F.struct(
+def feed_match(df):
+    """A match as the feed nests it."""
+    team = lambda side: F.struct(F.col(f"{side}_club_id").alias("id"), F.col(f"{side}_club_name").alias("name"))
+    return F.struct(
         F.col("game_id").alias("id"),
         F.concat(F.col("date").cast("string"), F.lit("T15:00:00Z")).alias("utcDate"),
         "status", F.col("round").alias("matchday"),
@@ -151,6 +148,13 @@ def _(spark, sf):
         F.struct(F.struct(F.col("home_club_goals").alias("home"), F.col("away_club_goals").alias("away"))
                  .alias("fullTime")).alias("score"),
     )
+
+
+@query("read_match_feed", "SRC-1 PRJ-1", "SELECT * FROM fx_feed")
+def _(spark, sf):
+    """Feed documents written one per line, read back and flattened."""
+    df = feed(spark, sf)
+    match = feed_match(df)
     doc = F.struct(
         F.struct(F.col("competition_id").alias("code"), F.col("competition_name").alias("name")).alias("competition"),
         F.array(match).alias("matches"),
@@ -453,37 +457,57 @@ def _(spark, sf):
 
 # --- incremental --------------------------------------------------------------
 
-CTES["q_feed_best"] = f"""
+# Every file is landed once; those of two leagues are landed again, with other scores, moved, cancelled and withdrawn
+# matches, and some without any match left.
+_FILE = "concat(competition_id, '_', CAST(season AS STRING), '_', CAST(game_id % 4 AS STRING))"
+LANDED = f"""
+SELECT 0 AS landing, {_FILE} AS file, game_id, competition_id, competition_name, season, date, round, home_club_name, away_club_name,
+  home_club_goals, away_club_goals, status FROM {{fx_feed}}
+UNION ALL
+SELECT 1 AS landing, {_FILE} AS file, game_id, competition_id, competition_name, season,
+  CAST(date_add(date, CASE WHEN game_id % 11 = 5 THEN 1 ELSE 0 END) AS DATE) AS date, round, home_club_name, away_club_name,
+  CAST((home_club_goals + 3) % 7 AS INT) AS home_club_goals, away_club_goals, CASE WHEN game_id % 13 = 6 THEN 'CANCELLED' ELSE status END AS status
+FROM {{fx_feed}} WHERE competition_id IN ('PL', 'PD') AND game_id % 7 <> 3 AND NOT (competition_id = 'PD' AND game_id % 4 = 3)
+"""
+CTES["q_landed"] = LANDED.format(fx_feed="fx_feed")
+CTES["q_newest"] = f"""
+SELECT {_ID} AS match_id, * FROM (
+  SELECT 'api' AS source, competition_id AS competition, date, season, round,
+    coalesce(h.c, trim(home_club_name)) AS home_team, coalesce(a.c, trim(away_club_name)) AS away_team,
+    home_club_goals AS home_goals, away_club_goals AS away_goals
+  FROM q_landed LEFT JOIN q_alias h ON h.k = lower(trim(home_club_name)) LEFT JOIN q_alias a ON a.k = lower(trim(away_club_name))
+  WHERE status = 'FINISHED' AND landing = CASE WHEN competition_id IN ('PL', 'PD') THEN 1 ELSE 0 END) f
+"""
+CTES["q_newest_best"] = f"""
 SELECT *, {_LABEL.format(c='competition')} ELSE competition END AS competition_name,
   {_POINTS.format(side='home')} AS home_points, {_POINTS.format(side='away')} AS away_points
 FROM (SELECT *, {_RESULT.format(h='home_goals', a='away_goals')} AS result
-  FROM ({first_per_key('q_feed', 'match_id', 'source, competition, date, season, round, home_team, away_team, home_goals, away_goals')}) u
+  FROM ({first_per_key('q_newest', 'competition, season, match_id', 'source, date, round, home_team, away_team, home_goals, away_goals')}) u
   WHERE home_goals BETWEEN 0 AND 20 AND away_goals BETWEEN 0 AND 20) r
 """
 
 
 @query("incremental_standings", "SS-1", table_sql(
-    "q_feed_best", "competition, competition_name, season", "home_team AS club_name", "away_team AS club_name", "home_goals", "away_goals"))
+    "q_newest_best", "competition, competition_name, season", "home_team AS club_name", "away_team AS club_name", "home_goals", "away_goals"))
 def _(spark, sf):
-    """Documents of many matches arrive in two batches; the second corrects the scores of two leagues. A third run finds nothing new."""
-    df = feed(spark, sf)
-    doc = F.struct(
-        F.struct(F.col("competition_id").alias("code"), F.col("competition_name").alias("name")).alias("competition"),
-        F.collect_list(F.struct(
-            F.col("game_id").alias("id"), F.col("date").cast("string").alias("utcDate"), "status",
-            F.col("round").alias("matchday"), F.struct(F.col("season").cast("string").alias("startDate")).alias("season"),
-            F.struct(F.col("home_club_name").alias("name")).alias("homeTeam"),
-            F.struct(F.col("away_club_name").alias("name")).alias("awayTeam"),
-            F.struct(F.struct(F.col("home_club_goals").alias("home"), F.col("away_club_goals").alias("away")).alias("fullTime")).alias("score"),
-        )).alias("matches"),
-    )
+    """Files are landed in two batches, those of two leagues in both; the newest version of each file counts. A third run finds nothing new."""
+    landed = spark.sql(LANDED, fx_feed=feed(spark, sf))
+    match = F.struct(
+        F.col("game_id").alias("id"), F.col("date").cast("string").alias("utcDate"), "status",
+        F.col("round").alias("matchday"), F.struct(F.col("season").cast("string").alias("startDate")).alias("season"),
+        F.struct(F.col("home_club_name").alias("name")).alias("homeTeam"),
+        F.struct(F.col("away_club_name").alias("name")).alias("awayTeam"),
+        F.struct(F.struct(F.col("home_club_goals").alias("home"), F.col("away_club_goals").alias("away")).alias("fullTime")).alias("score"))
     path = scratch(spark, "stream")
-    late = df.filter(F.col("competition_id").isin("PL", "PD"))
-    wrong = F.when(F.col("competition_id").isin("PL", "PD"), (F.col("home_club_goals") + 3) % 7).otherwise(F.col("home_club_goals"))
-    for batch, rows in ((0, df.withColumn("home_club_goals", wrong)), (1, late), (2, None)):
-        if rows is not None:
-            docs = rows.groupBy("competition_id", "competition_name", "season", F.col("game_id") % 20).agg(doc.alias("d"))
-            docs.select("d.*").write.json(f"{path}/feed/{batch}")
+    known = landed.filter("landing = 0").select("file", "competition_id", "competition_name").distinct()
+    for landing, files in ((0, known), (1, known.filter(F.col("competition_id").isin("PL", "PD"))), (2, None)):
+        if files is not None:
+            listed = landed.filter(F.col("landing") == landing).groupBy("file", F.col("game_id") % 1000).agg(F.collect_list(match).alias("matches"))
+            empty = F.array().cast(listed.schema["matches"].dataType)
+            docs = files.join(listed.select("file", "matches"), "file", "left").select(
+                "file", F.struct(F.col("competition_id").alias("code"), F.col("competition_name").alias("name")).alias("competition"),
+                F.coalesce("matches", empty).alias("matches"))
+            docs.hint("rebalance", "file").write.partitionBy("file").json(f"{path}/feed/{landing}")
         incremental.incremental_matches(
-            spark, f"{path}/feed", f"{path}/store", f"{path}/checkpoint", aliases(spark, sf), multi_line=False)
+            spark, f"{path}/feed", f"{path}/store", f"{path}/checkpoint", aliases(spark, sf), multi_line=False, file_pattern=r"/file=([^/]+)/")
     return incremental.current_standings(spark, f"{path}/store")

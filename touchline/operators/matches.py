@@ -15,10 +15,11 @@ from touchline.operators.names import normalize_team
 from touchline.schemas import ENRICHED_MATCH, SEASON_STATS
 
 
-def flatten_matches(feed: DataFrame) -> DataFrame:
-    """One row per match out of the nested feed rows (13 columns)."""
-    m = feed.select("competition", F.explode("matches").alias("m"))
+def flatten_matches(feed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per match out of the nested feed rows (13 columns, after those to ``keep``)."""
+    m = feed.select(*keep, "competition", F.explode("matches").alias("m"))
     return m.select(
+        *keep,
         X.to_long("m.id").alias("game_id"),
         F.col("competition.code").alias("competition_id"),
         F.col("competition.name").alias("competition_name"),
@@ -183,6 +184,15 @@ def standings(
         F.sum("d").alias("nuls"),
         F.sum("l").alias("defaites"),
     )
+    return with_differences(table, conceded_mean)
+
+
+# What a league table adds up; all its other numbers follow from these.
+TABLE_SUMS = ("matchs_joues", "points", "buts_marques", "buts_encaisses", "victoires", "nuls", "defaites")
+
+
+def with_differences(table: DataFrame, conceded_mean: bool = True) -> DataFrame:
+    """Goal difference and means from the sums."""
     table = table.withColumn("diff_buts", F.col("buts_marques") - F.col("buts_encaisses"))
     table = table.withColumn("moy_buts_par_match", _mean("buts_marques"))
     return table.withColumn("moy_buts_encaisses_par_match", _mean("buts_encaisses")) if conceded_mean else table
