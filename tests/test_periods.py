@@ -8,7 +8,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from touchline.operators import periods, stats
+from pyspark.sql import functions as F
+
+from touchline.operators import features, periods, stats
 
 DAY0 = datetime.date(2020, 1, 1)
 
@@ -71,3 +73,80 @@ def test_quartiles(spark, values):
     assert r["mean"] == pytest.approx(np.mean(values), rel=1e-9, abs=1e-5)
     if len(values) > 1:
         assert r["std"] == pytest.approx(np.std(values, ddof=1), rel=1e-6, abs=1e-5)
+
+
+spans = st.lists(st.tuples(st.integers(1, 2), st.integers(0, 40), st.integers(0, 40)), max_size=12)
+
+
+@SLOW
+@given(spans, st.lists(st.tuples(st.integers(1, 3), st.integers(0, 40), st.integers(0, 5)), max_size=30), st.sampled_from([1, 3, 7, 128]))
+def test_overlapping_periods(spark, periods_, played, bin_days):
+    rows = [(k, day(a), day(b), i % 3) for i, (k, a, b) in enumerate(periods_)]
+    rows += rows[:2] + [(None, day(0), day(9), 0), (1, None, day(9), 0), (1, day(3), None, 0)]  # repeated, and without key or ends
+    df = spark.createDataFrame(rows, "player_id int, t0 date, t1 date, tag int")
+    points = spark.createDataFrame([(k, day(d), g) for k, d, g in played] + [(None, day(1), 1), (1, None, 1)], "player_id int, date date, goals int")
+    got = periods.overlap_join(points, df, {"goals": "g"}, count="n", bin_days=bin_days)
+    want = []
+    for k, t0, t1, tag in rows:
+        own = [g for q, d, g in played if q == k and t0 and t1 and t0 <= day(d) < t1]
+        want.append((k, t0, t1, tag, len(own), sum(own)))
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+
+
+@SLOW
+@given(rows, rows)
+def test_both_joins_agree_on_disjoint_periods(spark, values, played):
+    points = spark.createDataFrame([(k, day(d), g) for k, d, g in played], "player_id int, date date, goals int")
+    pairs = periods.consecutive_pairs(frame(spark, values))
+    a = periods.interval_join(points, pairs, {"goals": "g"}, count="n")
+    b = periods.overlap_join(points, pairs, {"goals": "g"}, count="n", bin_days=2)
+    assert Counter(map(tuple, a.select(*b.columns).collect())) == Counter(map(tuple, b.collect()))
+
+
+@pytest.mark.parametrize("ordered", [1, 10, 1000])
+def test_quantiles_in_rounds(spark, ordered):
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(size=30_000), rng.lognormal(10, 4, 20_001), np.repeat(rng.normal(size=40), 500), rng.integers(0, 5000, 25_000).astype(float)):
+        df = spark.createDataFrame([(float(v),) for v in values], "v double")
+        asked = {"low": 0.0, "q01": 0.01, "q25": 0.25, "q50": 0.5, "q999": 0.999, "high": 1.0}
+        # a coarse enclosure, so that several rounds are needed
+        got = stats.exact_quantiles(df, "v", asked, accuracy=50, ordered=ordered).first()
+        for name, q in asked.items():
+            assert got[name] == pytest.approx(np.quantile(values, q), rel=1e-12, abs=1e-12)
+        v = df.select("v")
+        _, limits = stats._enclosures(v, asked, 50, ordered)
+        inside = [len(np.unique(values[(values >= a) & (values <= b)])) for a, b in limits]
+        assert max(inside) <= max(2 * ordered, 12)
+
+
+def test_merged_sketches(spark):
+    df = spark.range(60_000).selectExpr(
+        "id % 12 as month", "id % 3 as league", "case when id % 10 > 0 then id % 7001 end as player", "cast(id * 7919 % 10007 as double) as minutes", "if(id % 4 = 0, null, 1) as goals")
+    stored = stats.profile_sketches(df, ["league", "month"], ["goals"], ["player"], ["minutes"])
+    whole = stats.merged_profile(stats.profile_sketches(df, [], ["goals"], ["player"], ["minutes"]))
+    merged = stats.merged_profile(stored)
+    a, b = whole.first(), merged.first()
+    assert a["n_rows"] == b["n_rows"] == 60_000 and a["goals_nulls"] == b["goals_nulls"] == 15_000
+    assert a["player_distinct"] == b["player_distinct"]  # merging loses nothing of a HyperLogLog sketch
+    exact = df.select("player").na.drop().distinct().count()
+    assert abs(b["player_distinct"] - exact) <= 0.05 * exact
+    for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        for r in (a, b):
+            rank = df.filter(F.col("minutes") <= r[f"minutes_{name}"]).count() / 60_000
+            assert abs(rank - q) <= 0.03
+    by_league = stats.merged_profile(stored, ["league"]).collect()
+    assert sorted((r["league"], r["n_rows"]) for r in by_league) == [(0, 20_000), (1, 20_000), (2, 20_000)]
+
+
+def test_dictionary(spark):
+    words = [f"w{i * 37 % 500:03d}" for i in range(900)] + [None, "", "é"]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "id int, word string")
+    codes = {w: k for k, w in enumerate(sorted({w for w in words if w is not None}))}
+    got = features.code_by_join(df, "word", "code").collect()
+    assert {(r["id"], r["code"]) for r in got} == {(i, codes.get(w)) for i, w in enumerate(words)} and len(got) == len(words)
+    small = features.dictionary(df.filter("id < 10"), "word")
+    assert features.code_by_join(df, "word", "code", small).filter("code is null").count() == sum(w not in words[:10] for w in words)
+    assert features.dictionary(df.limit(0), "word").count() == 0
+    with pytest.raises(ValueError, match="too many"):
+        features.vocabularies(df, ["word"], most=400)
+    assert len(features.vocabularies(df, ["word"])["word"]) == len(codes)

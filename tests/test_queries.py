@@ -8,8 +8,6 @@ from touchline.catalog import QUERIES as OWN
 
 QUERIES = {name: run for name, run in entry.queries().items() if name in OWN}
 SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
-# Two hundred trees of each kind: minutes each, covered with few trees in test_models.
-SLOW = {"compared_models", "temporal_predictions", "temporal_evaluation_mix", "market_value_models", "cross_validation"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -20,7 +18,7 @@ def test_equals_sql(name, spark, sf, con):
     assert difference(df, con, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(name, spark, sf):
     assert QUERIES[name](spark, sf).count() > 0
 

@@ -104,6 +104,14 @@ def _(spark, sf):
     return quality.model_gate(spark, r2, scored.count())
 
 
+@query("prediction_gate", "DQ-14", f"""
+SELECT 'n_predictions' AS rule, CAST(count(*) AS DOUBLE) AS value, CAST({C.MIN_PREDICTIONS} AS DOUBLE) AS floor, count(*) >= {C.MIN_PREDICTIONS} AS passed FROM q_candidates
+""")
+def _(spark, sf):
+    """The rule of the gate that does not depend on fitted numbers."""
+    return quality.model_gate(spark, {}, fitted(spark, sf)[1].count()).filter("rule = 'n_predictions'")
+
+
 _compared: dict[tuple, tuple] = {}
 
 

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from touchline import constants as C
 from touchline.catalog import fixtures as fx
 from touchline.catalog import match_queries as mq
 from touchline.catalog.registry import CTES, first_per_key, query, rnd
+from touchline.catalog.scratch import scratch
 from touchline.functions import columns as X
 from touchline.operators import clean, dedup, features, models, periods, quality, reports, stats
 from touchline.operators import matches as M
 from touchline.operators import players as P
 from touchline.plans import players as player_plan
+from touchline.schemas import MART_INDEXES
+from touchline.sources import indexed
 
 # --- Spark side --------------------------------------------------------------
 
@@ -427,6 +432,16 @@ def _(spark, sf):
     return periods.interval_join(appearances(spark, sf), periods.consecutive_pairs(positive(spark, sf)), _SUMS, count="matchs_periode")
 
 
+_LONG = "SELECT player_id, t0, CAST(date_add(t1, 90) AS DATE) AS t1, v0, v1, pid FROM q_pair_ids"
+
+
+@query("overlapping_period_sums", "JN-7", CTES["q_periods"].replace("q_pair_ids", f"({_LONG})"))
+def _(spark, sf):
+    """Periods that run on for 90 days into the next: a day counts in each period that holds it."""
+    longer = periods.consecutive_pairs(positive(spark, sf)).withColumn("t1", F.date_add("t1", 90))
+    return periods.overlap_join(appearances(spark, sf), longer, _SUMS, count="matchs_periode")
+
+
 def temporal(spark, sf):
     return features.temporal_features(
         valuations(spark, sf), appearances(spark, sf), players(spark, sf), _SINCE, fx.LAST_SEASON)
@@ -454,6 +469,15 @@ def _(spark, sf):
     return df.drop("position", "foot")
 
 
+@query("category_codes", "FE-1", """
+SELECT player_id, name, CAST(dense_rank() OVER (ORDER BY name) - 1 AS BIGINT) AS name_code FROM q_players WHERE name IS NOT NULL
+UNION ALL SELECT player_id, name, NULL FROM q_players WHERE name IS NULL
+""")
+def _(spark, sf):
+    """As many values as players: encoded by a join with a stored dictionary."""
+    return features.code_by_join(players(spark, sf).select("player_id", "name"), "name", "name_code")
+
+
 @query("nationality_groups", "FE-2", f"""
 SELECT country_of_citizenship, CASE WHEN country_of_citizenship IN ({_top20('q_players', 'country_of_citizenship')}) THEN country_of_citizenship ELSE 'other' END AS nationality_group, player_id FROM q_players
 """)
@@ -572,14 +596,27 @@ def _(spark, sf):
 _PAGE = ", ".join(reports.PAGE)
 
 
-@query("prediction_page", "TK-4", f"SELECT {_PAGE} FROM fx_predictions ORDER BY valeur_projetee DESC, player_id LIMIT 20 OFFSET 40")
+@query("prediction_page", "TK-4", f"""
+SELECT * EXCLUDE (place) FROM (SELECT {_PAGE}, row_number() OVER (ORDER BY valeur_projetee DESC, player_id) AS place FROM fx_predictions) ranked
+WHERE place > (SELECT count(*) * 3 // 4 FROM fx_predictions) AND place <= (SELECT count(*) * 3 // 4 FROM fx_predictions) + 20
+""")
 def _(spark, sf):
-    return reports.page(predictions(spark, sf), 20, 40)
+    """A page three quarters down the ranking, read from the ranges that hold it."""
+    path, df = scratch(spark, "ranked"), predictions(spark, sf)
+    order = [F.col("valeur_projetee").desc_nulls_last(), F.col("player_id")]
+    indexed.write_ranked(df.select(*reports.PAGE), order, path, range_rows=1000)
+    return indexed.read_page(spark, path, order, 20, df.count() * 3 // 4)
 
 
-@query("prediction_by_id", "TK-5", f"SELECT {_PAGE} FROM fx_predictions WHERE player_id = 77")
+@query("prediction_by_id", "TK-5 SRC-4", f"SELECT {_PAGE} FROM fx_predictions WHERE player_id = 77")
 def _(spark, sf):
-    return reports.find(predictions(spark, sf), 77)
+    """One player out of the stored mart: one bucket is opened."""
+    name = f"predictions_{uuid.uuid4().hex}"
+    path = scratch(spark, name)
+    indexed.write_indexed(predictions(spark, sf), name, path, **MART_INDEXES["predictions_projection_carriere"])
+    found = reports.find(spark.table(name), 77)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files are the mart
+    return found
 
 
 @query("gems", "BI-3", f"""

@@ -8,6 +8,7 @@ from touchline import constants as C
 from touchline import schemas
 from touchline.catalog import fixtures as fx
 from touchline.catalog import match_queries as mq
+from touchline.catalog import model_queries as modq
 from touchline.catalog import player_queries as pq
 from touchline.catalog.registry import query, rnd
 from touchline.catalog.scratch import scratch
@@ -114,7 +115,7 @@ def _(spark, sf):
     children = dict(zip(schemas.FOREIGN_KEYS, ("appearances", "valuations", "transfers", "features_temporal", "predictions")))
     out = None
     for t in children.values():
-        child = pq.temporal(spark, sf) if t == "features_temporal" else pq.raw(spark, sf, t)
+        child = modq.stored_temporal(spark, sf) if t == "features_temporal" else pq.raw(spark, sf, t)
         one = quality.fk_orphans(child, parent).select(F.lit(t).alias("child"), "player_id", "n")
         out = one if out is None else out.union(one)
     return out
@@ -149,13 +150,15 @@ def _(spark, sf):
 
 
 _VOLUMES = """SELECT 'marts_clubs.unified_matches' AS "table", count(*) AS n_rows FROM q_unified UNION ALL SELECT 'marts_players.players', count(*) FROM q_players
-UNION ALL SELECT 'marts_players.appearances_unified', count(*) FROM q_app_linked UNION ALL SELECT 'marts_players.player_valuations', count(*) FROM q_valuations"""
+UNION ALL SELECT 'marts_players.appearances_unified', count(*) FROM q_app_linked UNION ALL SELECT 'marts_players.player_valuations', count(*) FROM q_valuations
+UNION ALL SELECT 'marts_ml.predictions_projection_carriere', count(*) FROM fx_predictions"""
 
 
 def volumes(spark, sf):
     return stats.table_volumes({
         "marts_clubs.unified_matches": mq.unified(spark, sf), "marts_players.players": pq.players(spark, sf),
-        "marts_players.appearances_unified": pq.linked(spark, sf), "marts_players.player_valuations": pq.valuations(spark, sf)})
+        "marts_players.appearances_unified": pq.linked(spark, sf), "marts_players.player_valuations": pq.valuations(spark, sf),
+        "marts_ml.predictions_projection_carriere": pq.predictions(spark, sf)})
 
 
 @query("table_volumes", "AG-15", _VOLUMES)
@@ -163,12 +166,20 @@ def _(spark, sf):
     return volumes(spark, sf)
 
 
+# Players and predictions are expected as the raw tables have them, the others as declared.
+_PER_TABLE = {"marts_players.players": "count(DISTINCT player_id) FROM fx_players", "marts_ml.predictions_projection_carriere": "count(*) FROM fx_predictions"}
+_EXPECTED = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", {_PER_TABLE.get(t, n)}" for t, n in C.EXPECTED_VOLUMES.items())
+
+
 @query("expected_volumes", "DQ-11", f"""
-SELECT e."table", e.expected, v.n_rows, coalesce(e.expected = v.n_rows, false) AS as_expected
-FROM (VALUES {', '.join(f"('{t}', CAST({n} AS BIGINT))" for t, n in C.EXPECTED_VOLUMES.items())}) AS e("table", expected) LEFT JOIN ({_VOLUMES}) v ON v."table" = e."table"
+SELECT e."table", e.expected, v.n_rows, e.expected = v.n_rows AS as_expected
+FROM ({_EXPECTED}) AS e("table", expected) JOIN ({_VOLUMES}) v ON v."table" = e."table"
 """)
 def _(spark, sf):
-    return quality.expected_volumes(volumes(spark, sf))
+    raw = pq.raw(spark, sf, "players").agg(F.count_distinct("player_id")).first()[0]
+    expected = {**C.EXPECTED_VOLUMES, "marts_players.players": raw,
+                "marts_ml.predictions_projection_carriere": pq.raw(spark, sf, "predictions").count()}
+    return quality.expected_volumes(volumes(spark, sf), expected)
 
 
 @query("player_profile", "AG-10", """
@@ -184,6 +195,23 @@ def _(spark, sf):
     return stats.profile(pq.raw(spark, sf, "appearances"), ["goals"], ["player_id", "game_id"])
 
 
+@query("merged_appearance_profile", "AG-10 AG-12", """
+SELECT competition_id, count(*) AS n_rows, count(*) FILTER (goals IS NULL) AS goals_nulls, count(DISTINCT player_id) > 0 AS distinct_close, count(minutes_played) > 0 AS median_close
+FROM fx_appearances GROUP BY 1
+""")
+def _(spark, sf):
+    """Sketches stored per competition and month, merged per competition; the estimates are held against exact figures."""
+    df, path = pq.raw(spark, sf, "appearances"), scratch(spark, "sketches")
+    monthly = df.withColumn("month", F.trunc("date", "month"))
+    stats.profile_sketches(monthly, ["competition_id", "month"], ["goals"], ["player_id"], ["minutes_played"]).write.parquet(path)
+    merged = stats.merged_profile(spark.read.parquet(path), ["competition_id"], {"median": 0.5})
+    at = F.col("minutes_played")
+    exact = df.groupBy("competition_id").agg(F.count_distinct("player_id").alias("players"), F.percentile(at, [0.45, 0.55]).alias("around"))
+    near = F.abs(F.col("player_id_distinct") - F.col("players")) <= F.greatest(F.lit(2), 0.08 * F.col("players"))
+    inside = (F.col("minutes_played_median") >= F.floor(F.col("around")[0])) & (F.col("minutes_played_median") <= F.ceil(F.col("around")[1]))
+    return merged.join(exact, "competition_id").select("competition_id", "n_rows", "goals_nulls", near.alias("distinct_close"), inside.alias("median_close"))
+
+
 @query("join_coverage", "JN-11", """
 SELECT 'appearances' AS child, count(*) AS n_joined FROM fx_appearances a JOIN q_players p ON p.player_id = a.player_id
 UNION ALL SELECT 'transfers', count(*) FROM fx_transfers a JOIN q_players p ON p.player_id = a.player_id
@@ -198,9 +226,16 @@ def _(spark, sf):
     return out
 
 
-@query("alias_conflicts", "SC-1", "SELECT lower(trim(alias)) AS alias_key, min(canonical) AS first_canonical, max(canonical) AS last_canonical FROM fx_aliases GROUP BY 1 HAVING min(canonical) <> max(canonical)")
+@query("alias_conflicts", "SC-1", """
+SELECT lower(trim(alias)) AS alias_key, min(canonical) AS first_canonical, max(canonical) AS last_canonical
+FROM (SELECT * FROM fx_aliases UNION ALL SELECT ' ' || upper(alias), canonical || ' B' FROM fx_aliases WHERE length(alias) = 6) a
+GROUP BY 1 HAVING min(canonical) <> max(canonical)
+""")
 def _(spark, sf):
-    return names.alias_conflicts(mq.aliases(spark, sf))
+    """Some spellings are listed again, in capitals and for another club."""
+    df = mq.aliases(spark, sf)
+    other = df.filter(F.length("alias") == 6).select(F.concat(F.lit(" "), F.upper("alias")), F.concat("canonical", F.lit(" B")))
+    return names.alias_conflicts(df.union(other))
 
 
 # --- sources and sinks --------------------------------------------------------
@@ -253,11 +288,22 @@ def _(spark, sf):
     return readers.read_table(spark, path, ["match_id", "home_goals", "away_goals"], "competition = 'PL' AND season = 1998")
 
 
-@query("landed_feed", "SRC-6", "SELECT * FROM fx_feed")
+@query("landed_feed", "SRC-1 SRC-6", """
+SELECT *, CASE WHEN game_id % 3 = 0 THEN 'Ground ' || home_club_id END AS ground, CASE WHEN game_id % 5 <> 0 THEN CAST(game_id % 90000 AS INT) END AS attendance FROM fx_feed
+""")
 def _(spark, sf):
-    path = scratch(spark, "bronze")
-    writers.land_bronze(mq.feed(spark, sf), path)
-    return spark.read.parquet(path)
+    """Documents with fields that no schema names, some of an odd type, landed as they are and flattened from there."""
+    df, path = mq.feed(spark, sf), scratch(spark, "raw")
+    known = F.to_json(mq.feed_match(df))
+    ground = F.when(F.col("game_id") % 3 == 0, F.concat(F.lit('"venue":{"name":"Ground '), "home_club_id", F.lit('"},'))).otherwise(F.lit(""))
+    seen = F.when(F.col("game_id") % 5 == 0, F.lit('"sold out"')).otherwise((F.col("game_id") % 90000).cast("string"))
+    match = F.concat(F.lit("{"), ground, F.lit('"attendance":'), seen, F.lit(","), F.substr(known, F.lit(2)))
+    docs = df.select(F.concat(
+        F.lit('{"competition":{"code":"'), "competition_id", F.lit('","name":"'), "competition_name", F.lit('"},"matches":['), match, F.lit("]}")).alias("value"))
+    docs.write.text(f"{path}/in")
+    writers.land_bronze(readers.read_raw_feed(spark, f"{path}/in", multi_line=False, glob="*.txt"), f"{path}/bronze")
+    more = {"ground": ("$.venue.name", "string"), "attendance": ("$.attendance", "int")}
+    return readers.matches_of_raw(spark.read.parquet(f"{path}/bronze"), more)
 
 
 @query("replaced_standings", "SNK-1 SNK-2", "SELECT * FROM q_table")
@@ -278,13 +324,19 @@ def _(spark, sf):
     return clean.conform(spark.read.option("header", True).csv(path), types)
 
 
-@query("refresh_log", "SNK-4 DQ-5", "SELECT 'derived tables' AS source, v AS version FROM (VALUES ('1'), ('2')) AS t(v)")
+@query("refresh_log", "SNK-4 DQ-5", """
+SELECT 'derived tables' AS source, v AS version, n AS number, (SELECT count(*) FROM fx_players) AS players,
+  CASE WHEN n = 1 THEN (SELECT count(*) FROM fx_transfers) ELSE (SELECT count(*) FROM fx_transfers WHERE player_id % 20 <> 0) END AS transfers
+FROM (VALUES ('1', CAST(1 AS BIGINT)), ('2', 2)) AS t(v, n)
+""")
 def _(spark, sf):
-    """A snapshot is admitted twice; the log names both versions."""
-    store = scratch(spark, "store")
-    for version in ("1", "2"):
-        snapshots.admit_snapshot(spark, snapshot_tables(spark, sf), store, version, "derived tables")
-    return spark.read.parquet(f"{store}/log").select("source", "version")  # when is the clock's affair
+    """Two snapshots are admitted, the second with fewer transfers; the log and the commits name both, with the rows counted while writing."""
+    store, tables = scratch(spark, "store"), snapshot_tables(spark, sf)
+    snapshots.admit_snapshot(spark, tables, store, "1", "derived tables")
+    snapshots.admit_snapshot(spark, {**tables, "transfers": tables["transfers"].filter("player_id % 20 <> 0")}, store, "2", "derived tables")
+    log, commits = spark.read.parquet(f"{store}/log"), snapshots.commits(spark, store)
+    both = log.select("source", "version").join(commits.select("version", "number", "rows"), "version")  # when is the clock's affair
+    return both.select("source", "version", "number", F.col("rows")["players"].alias("players"), F.col("rows")["transfers"].alias("transfers"))
 
 
 @query("admitted_snapshot", "DQ-5", """SELECT 'players' AS "table", count(*) AS n_rows FROM fx_players UNION ALL SELECT 'games', count(*) FROM fx_games""")
@@ -300,14 +352,30 @@ def _(spark, sf):
     return stats.table_volumes({n: snapshots.current_table(spark, store, n) for n in ("players", "games")})
 
 
-@query("changed_files", "DQ-6", "SELECT 'unchanged' AS status, CAST(6 AS BIGINT) AS tables")
+_CHANGED = """
+SELECT '{t}' AS file, {lines} AS lines_before, {lines} AS lines_now, CASE WHEN {changed} THEN 'updated' ELSE 'unchanged' END AS status FROM fx_{t}"""
+
+
+@query("changed_files", "DQ-6", " UNION ALL ".join((
+    _CHANGED.format(t="players", lines="count(*)", changed="false"),
+    _CHANGED.format(t="clubs", lines="count(*)", changed="count(*) FILTER (club_id % 10 = 3) > 0"),
+    _CHANGED.format(t="valuations", lines="count(*)", changed="count(*) > 1"),
+    "SELECT 'transfers', count(*), NULL, 'absent' FROM fx_transfers", "SELECT 'games', NULL, count(*), 'updated' FROM fx_games")))
 def _(spark, sf):
-    """The same snapshot looked at twice: every file of all six tables is unchanged."""
-    root = write_snapshot(spark, sf)
-    seen = files.manifest(spark, root, "*.csv")
-    seen.write.parquet(f"{root}-manifest")
-    changes = files.detect_changed_files(files.manifest(spark, root, "*.csv"), spark.read.parquet(f"{root}-manifest"))
-    return changes.groupBy("status").agg(F.count_distinct(F.regexp_extract("path", r"/(\w+)\.csv/", 1)).alias("tables"))
+    """Two refreshes: players written again as they were, one club in ten renamed, valuations in another order, transfers gone, games new."""
+    root = scratch(spark, "landing")
+    tables = {t: pq.raw(spark, sf, t) for t in ("players", "clubs", "valuations", "transfers", "games")}
+    renamed = F.when(F.col("club_id") % 10 == 3, F.concat("name", F.lit("!"))).otherwise(F.col("name"))
+    second = {
+        "players": tables["players"], "clubs": tables["clubs"].withColumn("name", renamed),
+        "valuations": tables["valuations"].sortWithinPartitions(F.xxhash64(*tables["valuations"].columns)), "games": tables["games"]}
+    looks = []
+    for number, landed in enumerate(({t: df for t, df in tables.items() if t != "games"}, second)):
+        for t, df in landed.items():
+            df.write.csv(f"{root}/{number}/{t}.csv")
+        files.manifest(spark, f"{root}/{number}", "*.csv", r"/(\w+)\.csv/").write.parquet(f"{root}-looks/{number}")
+        looks.append(spark.read.parquet(f"{root}-looks/{number}"))
+    return files.detect_changed_files(looks[1], looks[0])
 
 
 @query("file_inventory", "DQ-12", " UNION ALL ".join(

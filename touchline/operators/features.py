@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline import constants as C
@@ -14,19 +14,52 @@ from touchline.functions import columns as X
 from touchline.operators import clean
 from touchline.operators.periods import consecutive_pairs, interval_join
 from touchline.operators.players import club_values, latest_by
+from touchline.session import cut_lineage
 
-def vocabularies(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+
+# Values that may become a column of their own.
+MOST_COLUMNS = 1_000
+
+
+def vocabularies(df: DataFrame, columns: Sequence[str], most: int = MOST_COLUMNS) -> dict[str, list[str]]:
     """Sorted distinct values of categorical columns, read in one pass to fix the
     0/1 columns of train and score alike.
 
-    One column per value is as wide as the vocabulary: group rare values first
-    (:func:`top_n_or_other`), or take :func:`one_hot_vector` for wide columns.
+    One column per value is as wide as the vocabulary, so more than ``most``
+    values in all are an error: group rare values first (:func:`top_n_or_other`),
+    or take one number for each value (:func:`code_by_join`).
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns]))
-    found = df.select(pairs.alias("p")).select("p.*").filter("v IS NOT NULL").distinct().collect()
+    found = df.select(pairs.alias("p")).select("p.*").filter("v IS NOT NULL").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} values in {list(columns)}: too many for columns of their own")
     return {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
 
 
+def dictionary(df: DataFrame, column: str) -> DataFrame:
+    """``column``, ``code``: the distinct values numbered from 0 in their order, however many there are.
+
+    Values are sorted by ranges and kept in the checkpoint folder; the sizes of
+    the ranges before add up to a value's number. NULL has no number.
+    """
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    ranged = cut_lineage(values.repartitionByRange(column).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    starts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
+    return ranged.withColumn("_within", within).join(starts, "_range").select(column, (F.col("_start") + F.col("_within")).alias("code"))
+
+
+def code_by_join(df: DataFrame, column: str, out: str, codes: DataFrame | None = None) -> DataFrame:
+    """Add each value's number in a dictionary; NULL, and values the dictionary lacks, get NULL.
+
+    Pass the dictionary of the training run when scoring.
+    """
+    codes = (dictionary(df, column) if codes is None else codes).withColumnRenamed("code", out)
+    return df.join(codes, column, "left")
+
+
 def one_hot_vector(df: DataFrame, column: str, out: str) -> DataFrame:
     """A sparse 0/1 vector per row, whatever the number of values; NULL has a place of its own."""
     indexer = StringIndexer(inputCol=column, outputCol=f"_{out}", stringOrderType="alphabetAsc", handleInvalid="keep")
@@ -86,8 +119,6 @@ def projection_candidates(youth: DataFrame, players: DataFrame, as_of) -> DataFr
     return rows.withColumnRenamed("market_value_in_eur", "valeur_actuelle")
 
 
-
-
 def kept_periods(
     valuations: DataFrame, players: DataFrame, first_day=C.TEMPORAL_SINCE, last_season: int = C.ACTIVE_SINCE_SEASON
 ) -> DataFrame:

@@ -95,3 +95,43 @@ def interval_join(
         return filled
     empty = periods.filter(F.col("t0") == F.col("t1"))
     return filled.unionByName(empty.withColumns({c: F.lit(0).cast("bigint") for c in names}))
+
+
+def overlap_join(
+    points: DataFrame,
+    periods: DataFrame,
+    sums: Mapping[str, str],
+    count: str = "n_points",
+    key: str = "player_id",
+    ts: str = "date",
+    bin_days: int = 128,
+) -> DataFrame:
+    """Periods with the sums of the points in ``[t0, t1)``, where periods of a key may overlap.
+
+    Time is cut into bins of ``bin_days``. Points are summed per key and day; a
+    period goes once to each bin it touches and meets the days of its key and bin
+    by an equi-join, and the exact test follows. Bins wholly inside a period are
+    met as one row, the sum of the bin, so only the two bins at its ends compare
+    days: pairs grow with periods times their length in bins, not with days times
+    periods. Copies of a period share one row until the end.
+    """
+    names = [count, *sums.values()]
+    columns = periods.columns
+    bin_of = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / bin_days)
+    per_day = points.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key, ts).agg(
+        F.count(F.lit(1)).alias(count), *[F.sum(c).alias(out) for c, out in sums.items()])
+    per_day = per_day.withColumn("bin", bin_of(F.col(ts)))
+    per_bin = per_day.groupBy(key, "bin").agg(*[F.sum(c).alias(c) for c in names])
+
+    spans = periods.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    real = spans.filter((F.col("t0") < F.col("t1")) & F.col(key).isNotNull()).select(key, "t0", "t1").distinct()
+    real = real.withColumns({"low": bin_of(F.col("t0")), "high": bin_of(F.date_sub("t1", 1))})
+    bins = real.withColumn("bin", F.explode(F.sequence("low", "high")))
+    whole = (F.date_from_unix_date((F.col("bin") * bin_days).cast("int")) >= F.col("t0")) & (
+        F.date_from_unix_date(((F.col("bin") + 1) * bin_days).cast("int")) <= F.col("t1"))
+    bins = bins.withColumn("whole", whole).select(key, "t0", "t1", "bin", "whole")
+    inside = bins.filter("whole").join(per_bin, [key, "bin"]).select(key, "t0", "t1", *names)
+    at_ends = bins.filter("not whole").join(per_day, [key, "bin"]).filter((F.col(ts) >= F.col("t0")) & (F.col(ts) < F.col("t1")))
+    met = inside.unionByName(at_ends.select(key, "t0", "t1", *names)).groupBy(key, "t0", "t1").agg(*[F.sum(c).alias(c) for c in names])
+    out = spans.join(met, [key, "t0", "t1"], "left").na.fill(0, names)
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(*columns, *names)

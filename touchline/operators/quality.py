@@ -24,10 +24,15 @@ def check_volume_ratio(new: DataFrame, old: DataFrame, name: str, warn: float =
     """New against previous row count: ``refused``, ``warning``, ``ok``, or ``first``."""
     both = new.select(F.lit(True).alias("is_new")).union(old.select(F.lit(False)))
     both = both.agg(F.count_if("is_new").alias("n_new"), F.count_if(~F.col("is_new")).alias("n_old"))
+    return volume_verdicts(both.select(F.lit(name).alias("table"), "*"), warn, block)
+
+
+def volume_verdicts(counts: DataFrame, warn: float = 0.90, block: float = 0.30) -> DataFrame:
+    """Rows with ``n_new`` and ``n_old`` and what their ratio says."""
     ratio = F.col("n_new") / F.nullif(F.col("n_old"), F.lit(0))
-    return both.select(F.lit(name).alias("table"), "n_new", "n_old", F.round(ratio, 4).alias("ratio"),
-        F.when(F.col("n_old") == 0, "first").when(ratio < block, "refused")
-        .when(ratio < warn, "warning").otherwise("ok").alias("verdict"))
+    verdict = (F.when(F.col("n_old") == 0, "first").when(ratio < block, "refused")
+               .when(ratio < warn, "warning").otherwise("ok"))
+    return counts.withColumns({"ratio": F.round(ratio, 4), "verdict": verdict})
 
 
 def check_min_matches(matches: DataFrame, competition: str = "competition_id", season: str = "season") -> DataFrame:

@@ -41,6 +41,40 @@ def profile(df: DataFrame, nulls: Sequence[str], keys: Sequence[str], approximat
     )
 
 
+def profile_sketches(df: DataFrame, by: Sequence[str], nulls: Sequence[str] = (), keys: Sequence[str] = (), numbers: Sequence[str] = ()) -> DataFrame:
+    """A profile that can be added up: per ``by`` the rows, missing values, and sketches of keys and numbers.
+
+    Distinct keys are held by HyperLogLog sketches, numbers by KLL sketches; a
+    group is one row of some kilobytes. Stored by the columns a refresh replaces,
+    only the groups that changed are ever read again.
+    """
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in nulls],
+        *[F.hll_sketch_agg(F.col(c)).alias(f"{c}_hll") for c in keys],
+        *[F.kll_sketch_agg_double(F.col(c).cast("double")).alias(f"{c}_kll") for c in numbers],
+    )
+
+
+def merged_profile(sketches: DataFrame, by: Sequence[str] = (), quantiles: Mapping[str, float] | None = None) -> DataFrame:
+    """The profile of several groups together, out of their sketches and nothing else.
+
+    Row and null counts are exact. Distinct counts are within 2 % or so (12 bits
+    of HyperLogLog, standard error 1.6 %); each quantile is that of a rank at
+    most 1.33 % (single-sided, 99 % sure) from the one asked for.
+    """
+    names = sketches.columns
+    quantiles = quantiles or {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    plain = [F.sum(c).alias(c) for c in names if c == "n_rows" or c.endswith("_nulls")]
+    distinct = [F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"{c.removesuffix('_hll')}_distinct") for c in names if c.endswith("_hll")]
+    spread = [F.kll_merge_agg_double(c).alias(c) for c in names if c.endswith("_kll")]
+    out = sketches.groupBy(*by).agg(*plain, *distinct, *spread)
+    asked = {
+        f"{c.removesuffix('_kll')}_{q}": F.kll_sketch_get_quantile_double(F.col(c), F.lit(float(p)))
+        for c in names if c.endswith("_kll") for q, p in quantiles.items()}
+    return out.withColumns(asked).drop(*[c for c in names if c.endswith("_kll")]) if asked else out
+
+
 def date_span(df: DataFrame, date: str = "date", season: str = "season") -> DataFrame:
     """First and last day, and the sorted seasons."""
     return df.agg(
@@ -49,26 +83,28 @@ def date_span(df: DataFrame, date: str = "date", season: str = "season") -> Data
     )
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, float], accuracy: int = 10_000) -> DataFrame:
+# Different values that may be put in order to find a rank; more are narrowed down first.
+ORDERED = 100_000
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, float], accuracy: int = 10_000, ordered: int = ORDERED) -> DataFrame:
     """One row: the exact interpolated quantile of a column for each name.
 
     Approximate percentiles a little below and above each rank, with a proven
-    rank error of 1 / ``accuracy``, enclose it to one neighbour. In every map
-    task rows below collapse to a count and their largest value, rows above to a
-    count and their smallest, equal values between to a count; only those few
-    are ordered, whatever the tail of the column.
+    rank error of 1 / ``accuracy``, enclose it. While an enclosure holds more
+    than ``ordered`` values, the same is done with the values inside, so each
+    round leaves a few thousandths of a thousandth of the last. At the end rows
+    below collapse to a count and their largest value in every map task, rows
+    above to a count and their smallest, equal values between to a count; only
+    those few are ordered, whatever the size and the tail of the column.
     """
-    slack = 2.0 / accuracy
-    edges = [p for q in probabilities.values() for p in (max(0.0, q - slack), min(1.0, q + slack))]
     v = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
-    limits = v.agg(F.struct(
-        F.count(F.lit(1)).alias("total"), F.approx_percentile("v", edges, accuracy).alias("edges")).alias("limits"))
+    total, limits = _enclosures(v, probabilities, accuracy, ordered)
     wanted = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q"),
-                 F.col("limits.edges")[2 * i].alias("low"), F.col("limits.edges")[2 * i + 1].alias("high"))
-        for i, (name, q) in enumerate(probabilities.items())
+        F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q"), F.lit(low).cast("double").alias("low"), F.lit(high).cast("double").alias("high"))
+        for (name, q), (low, high) in zip(probabilities.items(), limits)
     ]))
-    rows = v.withColumn("limits", limits.scalar()).select("v", F.col("limits.total").alias("total"), wanted.alias("w"))
+    rows = v.select("v", F.lit(total).cast("bigint").alias("total"), wanted.alias("w"))
     zone = F.when(F.col("v") < F.col("w.low"), -1).when(F.col("v") > F.col("w.high"), 1).otherwise(0)
     rows = rows.select("v", "total", "w.name", "w.q", zone.alias("zone"), F.when(zone == 0, F.col("v")).alias("place"))
     counts = rows.groupBy("name", "q", "total", "zone", "place").agg(
@@ -82,6 +118,33 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, floa
     return hit.agg(*found)
 
 
+def _enclosures(v: DataFrame, probabilities: Mapping[str, float], accuracy: int, ordered: int) -> tuple[int, list[tuple[float, float]]]:
+    """Number of values, and for each rank two values it lies between, or one neighbour beyond, with few values inside."""
+    slack = 2.0 / accuracy
+    edges = [p for q in probabilities.values() for p in (max(0.0, q - slack), min(1.0, q + slack))]
+    total, found = v.agg(F.count(F.lit(1)), F.approx_percentile("v", edges, accuracy)).first()
+    if not total:
+        return 0, [(0.0, 0.0)] * len(probabilities)
+    limits = list(zip(found[::2], found[1::2]))
+    while True:
+        inside = [(F.col("v") >= low) & (F.col("v") <= high) for low, high in limits]
+        look = v.agg(*[F.count_if(F.col("v") < low) for low, _ in limits], *[F.count_if(i) for i in inside],
+                     *[F.approx_count_distinct(F.when(i, F.col("v"))) for i in inside]).first()
+        below, held, different = (look[k * len(limits):(k + 1) * len(limits)] for k in range(3))
+        wide = [k for k, n in enumerate(different) if n > ordered]
+        if not wide:
+            return total, limits
+        ask = []
+        for k, q in enumerate(probabilities.values()):
+            rank = min(1.0, max(0.0, ((total - 1) * q - below[k]) / held[k]))
+            ask.append(F.approx_percentile(F.when(inside[k], F.col("v")), [max(0.0, rank - slack), min(1.0, rank + slack)], accuracy))
+        narrower = v.agg(*ask).first()
+        new = [tuple(narrower[k]) if k in wide else limits[k] for k in range(len(limits))]
+        if new == limits:  # no narrower than this
+            return total, limits
+        limits = new
+
+
 def describe(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
     """Count, mean, deviation, extremes and exact interpolated quartiles, one row.
 

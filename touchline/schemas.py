@@ -122,3 +122,15 @@ RANGE_CHECKS = {
     "unified_matches": {"home_goals": (0, 20), "away_goals": (0, 20)},
     "player_valuations": {"market_value_in_eur": (0, None)},
 }
+
+# What each mart is looked up by. A key gets buckets and sorted files, columns beside it Bloom filters
+# or the order of rows, and league seasons folders.
+MART_INDEXES = {
+    "appearances": {"key": "player_id", "sort": ["date"], "bloom": ["player_id", "competition_id"]},
+    "player_valuations": {"key": "player_id", "sort": ["date"], "bloom": ["player_id"]},
+    "player_performance": {"key": "player_id", "bloom": ["player_id"]},
+    "features_temporal": {"key": "player_id", "sort": ["date_t0"], "bloom": ["player_id"]},
+    "predictions_projection_carriere": {"key": "player_id", "bloom": ["player_id"]},
+    "unified_matches": {"partition_by": ["competition", "season"], "sort": ["date"], "bloom": ["home_team"]},
+    "classements_equipes_unified": {"partition_by": ["competition", "season"], "sort": ["club_name"]},
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from touchline.functions import columns as X
 from touchline.operators import clean
 from touchline.operators.matches import flatten_matches
 from touchline.schemas import MATCH_FEED, SEASON_REQUIRED, SEASON_STATS, SNAPSHOT, SNAPSHOT_REQUIRED
+from touchline.sources.records import csv_fields, file_path, read_csv_records
 
 _CORRUPT = T.StructField("_corrupt", T.StringType())
 
@@ -31,6 +32,40 @@ def read_feed_documents(spark: SparkSession, path: str, multi_line: bool = True)
     return docs.filter(F.col("_corrupt").isNull() & (F.size("matches") > 0)).drop("_corrupt")
 
 
+def read_raw_feed(spark: SparkSession, path: str, multi_line: bool = True, glob: str = "*.json") -> DataFrame:
+    """Feed documents as they came: ``path``, ``doc`` (VARIANT) and ``text``, which is kept where it does not parse.
+
+    Whatever fields and types a document has are kept. One document per file by
+    default; with ``multi_line=False`` one per line, and files are split over tasks.
+    """
+    docs = spark.read.options(wholetext=multi_line, recursiveFileLookup=True, pathGlobFilter=glob).text(path)
+    docs = docs.filter(F.trim("value") != "").select(file_path().alias("path"), F.try_parse_json("value").alias("doc"), "value")
+    return docs.select("path", "doc", F.when(F.col("doc").isNull(), F.col("value")).alias("text"))
+
+
+def matches_of_raw(raw: DataFrame, more: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+    """All matches of the raw feed, one row each: the 13 columns of the feed, after those asked for in ``more``.
+
+    ``more`` maps a column to the path and the type of a field of a match that
+    no schema names. Matches are taken out of the document one by one, so a field
+    of an odd type is missing in its own match and voids nothing else.
+    """
+    competition, match = MATCH_FEED["competition"].dataType, MATCH_FEED["matches"].dataType.elementType
+    m = raw.select(F.try_variant_get("doc", "$.competition", competition.simpleString()).alias("competition"),
+                   F.explode(F.try_variant_get("doc", "$.matches", "array<variant>")).alias("m"))
+    m = m.filter(F.try_variant_get("m", "$", "map<string,variant>").isNotNull())
+
+    def typed(kind: T.DataType, at: str) -> Column:
+        if isinstance(kind, T.StructType):
+            return F.struct(*[typed(f.dataType, f"{at}.{f.name}").alias(f.name) for f in kind.fields])
+        return F.try_variant_get("m", at, kind.simpleString())
+
+    more = more or {}
+    shaped = m.select(*[F.try_variant_get("m", at, kind).alias(c) for c, (at, kind) in more.items()],
+                      "competition", F.array(typed(match, "$")).alias("matches"))
+    return flatten_matches(shaped, tuple(more))
+
+
 def read_match_feed(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All matches of the feed, one row each, 13 columns."""
     return flatten_matches(read_feed_documents(spark, path, multi_line))
@@ -41,12 +76,6 @@ def read_match_feed(spark: SparkSession, path: str, multi_line: bool = True) ->
 _SEASON_PATH = r"(?:^|/)(?:\w+=)?({leagues})/(?:\w+=)?(season-(\d\d)\d\d)\.csv"
 
 
-def _fields(line: Column, width: int) -> Column:
-    """The fields of a CSV line, in order."""
-    row = F.from_csv(line, ", ".join(f"c{i} string" for i in range(width)))
-    return F.array(*[row[f"c{i}"] for i in range(width)])
-
-
 def read_season_csv(spark: SparkSession, root: str, first_season: int = C.FIRST_SEASON) -> DataFrame:
     """Rows of all season files as text columns, with competition and season.
 
@@ -55,7 +84,7 @@ def read_season_csv(spark: SparkSession, root: str, first_season: int = C.FIRST_
     by file and columns are taken by name, in one plan for all layouts and
     without a list of files on the driver. Old seasons are dropped by file name.
     """
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = file_path()
     pattern = _SEASON_PATH.format(leagues="|".join(C.LEAGUE_FOLDERS))
     files = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.csv").text(root)
     files = files.filter(path.rlike(pattern) & (X.season_start_year(path) >= first_season))
@@ -67,9 +96,9 @@ def read_season_csv(spark: SparkSession, root: str, first_season: int = C.FIRST_
     heads = lines.filter(F.col("line").contains("HomeTeam") & F.col("line").contains("AwayTeam"))
     heads = heads.groupBy("path").agg(F.min_by("line", "at").alias("head"), F.min("at").alias("head_at"))
     width = heads.agg(F.max(F.size(F.split("head", ",", -1)))).first()[0] or 1
-    heads = heads.withColumn("names", _fields(F.col("head"), width)).filter(F.array_contains("names", "HomeTeam"))
+    heads = heads.withColumn("names", csv_fields(F.col("head"), width)).filter(F.array_contains("names", "HomeTeam"))
     rows = lines.join(heads, "path").filter((F.col("at") > F.col("head_at")) & (F.col("line") != F.col("head")))
-    rows = rows.withColumn("fields", _fields(F.col("line"), width))
+    rows = rows.withColumn("fields", csv_fields(F.col("line"), width))
 
     def cell(name: str) -> Column:
         return F.get("fields", F.array_position("names", F.lit(name)).cast("int") - 1).alias(name)
@@ -77,14 +106,13 @@ def read_season_csv(spark: SparkSession, root: str, first_season: int = C.FIRST_
     return rows.select("competition", "season", *[cell(c) for c in [*SEASON_REQUIRED, *SEASON_STATS]])
 
 
-def read_snapshot_table(spark: SparkSession, root: str, name: str, multi_line: bool = True) -> DataFrame:
+def read_snapshot_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One snapshot table as text, as it lies in the file, whatever its column order.
 
-    Quoted line breaks stay in their field. That keeps a file in one task: for
-    large tables land many files, or pass ``multi_line=False`` if no field has a
-    line break.
+    Quoted line breaks stay in their field, and a file is still read by many
+    tasks: see :func:`csv_records`.
     """
-    return spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(f"{root}/{name}.csv")
+    return read_csv_records(spark, f"{root}/{name}.csv")
 
 
 def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
