@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -11,26 +12,28 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from touchline.llm.common import discard, stored
+from touchline.llm.common import stored
 
 # A word is a run of letters (with their combining marks), in lower case.
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_ASCII = re.compile(r"[a-z]+")
 
-# Size of the model: the most frequent words and n-grams of each length that are kept. All of the
-# training text is counted; what is rarer than these is scored by the next shorter n-grams.
-KEPT_WORDS = 100_000
-KEPT_GRAMS = 30_000
 LONGEST = 5
 # A gram stands for less evidence than a known word.
 BACKOFF = 0.4
-# Counts that a task gathers before it hands them on, and unseen words whose score it remembers.
+# Scores are whole numbers of this fraction of a unit, so that sums do not depend on their order.
+UNIT = 1 << 20
+# Words whose scores travel with the tasks instead of being joined. It changes the speed and no result.
+HEAD = 100_000
+# Counts that a task gathers before it hands them on.
 HELD = 500_000
 
 
 def words_of(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    text = text.lower()
+    return (_ASCII if text.isascii() else LETTERS).findall(text)
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -38,6 +41,13 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+def _grams(word: Column, n: int) -> Column:
+    """:func:`grams_of` as a column."""
+    marked = F.concat(F.lit("^"), word, F.lit("$"))
+    places = F.sequence(F.lit(1), F.length(marked) - n + 1)
+    return F.when(F.length(marked) >= n, F.transform(places, lambda i: F.substring(marked, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
 def _counted(docs: DataFrame, lang: str, text: str) -> DataFrame:
     """``lang``, ``word``, ``n`` over whole texts: counted in the tasks, then added up."""
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
@@ -64,162 +74,140 @@ def _counted(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return known.mapInArrow(run, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _gram_counts(words: DataFrame) -> DataFrame:
-    """``lang``, ``gram``, ``n`` from word counts: each distinct word is cut once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({
-                "lang": pa.array([k[0] for k in counts], pa.string()), "gram": pa.array([k[1] for k in counts], pa.string()),
-                "n": pa.array(list(counts.values()), pa.int64())})
-
-        for batch in batches:
-            for lang, word, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                for size in range(1, LONGEST + 1):
-                    for g in grams_of(word, size):
-                        counts[lang, g] += n
-                if len(counts) > HELD:
-                    yield out()
-                    counts.clear()
-        if counts:
-            yield out()
-
-    return words.select("lang", "word", "n").mapInArrow(run, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-def _most_frequent(counts: DataFrame, item: str, kept: int) -> list:
-    """Items with the highest counts over all languages, at most ``kept``, with their count in each.
-
-    A histogram of the counts, a hundred steps to a factor of e, gives the lowest
-    step from which no more than ``kept`` items come; only those are collected.
-    """
-    per_item = counts.groupBy(item).agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-    per_item = per_item.withColumn("step", F.floor(F.log("total") * 100))
-    room, lowest = kept, None
-    for r in per_item.groupBy("step").agg(F.count(F.lit(1)).alias("items")).orderBy(F.col("step").desc()).collect():
-        room -= r["items"]
-        if room < 0:
-            break
-        lowest = r["step"]
-    if lowest is None:
-        return []
-    return sorted(per_item.filter(F.col("step") >= lowest).drop("step").collect(), key=lambda r: (-r["total"], r[item]))
-
-
 @dataclass
 class Model:
-    """``scores[k]``: log frequency in each language of the word or n-gram with number k."""
+    """Word counts of each language as a table, and what is derived from them.
+
+    ``words`` has every word of the training text with its score in each
+    language; ``grams(n)`` the same for every n-gram, made when first needed.
+    """
 
     langs: list[str]
-    words: dict[str, int]
-    grams: list[dict[str, int]]  # by length, from 0
-    scores: np.ndarray
-    unseen: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def of_unseen(self, word: str) -> np.ndarray:
-        """Score of an unknown word: of the longest n-grams that are known, weighed down by each step back."""
-        for size in range(LONGEST, 0, -1):
-            known = [k for g in grams_of(word, size) if (k := self.grams[size].get(g)) is not None]
-            if known:
-                return self.scores[known].mean(axis=0) * BACKOFF
-        return np.zeros(len(self.langs))
-
-    def evidence(self, text: str) -> np.ndarray | None:
-        """Mean score of the words in each language; ``None`` without a letter."""
-        counts = Counter(words_of(text))
-        if not counts:
-            return None
-        total, get, known, times = np.zeros(len(self.langs)), self.words.get, [], []
-        for word, n in counts.items():
-            k = get(word)
-            if k is not None:
-                known.append(k)
-                times.append(n)
-                continue
-            score = self.unseen.get(word)
-            if score is None:
-                if len(self.unseen) > HELD:
-                    self.unseen.clear()
-                score = self.unseen[word] = self.of_unseen(word)
-            total = total + n * score
-        if known:
-            total = total + np.array(times, float) @ self.scores[known]
-        return total / sum(counts.values())
+    counts: DataFrame  # lang, word, n
+    words: DataFrame  # word, total, score
+    _grams: dict[int, DataFrame] = field(default_factory=dict)
+
+    def grams(self, n: int) -> DataFrame:
+        if n not in self._grams:
+            cut = self.counts.select("lang", F.explode(_grams(F.col("word"), n)).alias("gram"), "n")
+            self._grams[n] = _scores(cut, "gram", self.langs, f"grams_{n}")
+        return self._grams[n]
+
+    def head(self, most: int) -> tuple[dict[str, int], np.ndarray]:
+        """The ``most`` most frequent words and their scores."""
+        top = self.words.orderBy(F.desc("total"), "word").limit(most).select("word", "score").toArrow()
+        scores = top.column("score").combine_chunks()
+        flat = scores.flatten().to_numpy() if len(scores) else np.zeros(0, np.int64)
+        return {w: k for k, w in enumerate(top.column("word").to_pylist())}, flat.reshape(len(scores), len(self.langs))
+
+    def of_unseen(self, words: DataFrame) -> DataFrame:
+        """``word``, ``score`` of unknown words: the mean of their longest n-grams that are known, weighed down.
+
+        Words without a known n-gram of any length have no row.
+        """
+        left, parts = stored(words, "unseen"), []
+        for n in range(LONGEST, 0, -1):
+            if left.isEmpty():
+                break
+            cut = left.select("word", F.explode(_grams(F.col("word"), n)).alias("gram"))
+            met = cut.join(self.grams(n), "gram").groupBy("word").agg(F.count(F.lit(1)).alias("m"), *[
+                F.sum(F.col("score")[k]).alias(f"s{k}") for k in range(len(self.langs))])
+            mean = F.array(*[F.round(F.col(f"s{k}") * F.lit(BACKOFF) / F.col("m")).cast("bigint") for k in range(len(self.langs))])
+            parts.append(stored(met.select("word", mean.alias("score")), "unseen_scores"))
+            left = stored(left.join(parts[-1].select("word"), "word", "left_anti"), "unseen")
+        out = words.sparkSession.createDataFrame([], "word string, score array<bigint>")
+        for part in parts:
+            out = out.unionByName(part)
+        return out
+
+
+def _scores(counts: DataFrame, item: str, langs: list[str], name: str) -> DataFrame:
+    """``item``, ``total``, ``score``: the log frequency of each item in each language, out of ``lang``, ``item``, ``n``."""
+    by_lang = [F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(F.lit(0))).alias(f"n{k}") for k, name in enumerate(langs)]
+    items = stored(counts.groupBy(item).agg(F.sum("n").alias("total"), *by_lang), f"{name}_counts")
+    sums = items.agg(F.count(F.lit(1)), *[F.sum(f"n{k}") for k in range(len(langs))]).first()  # a number for each language
+    size = [(t or 0) + 0.5 * max(1, sums[0]) for t in sums[1:]]
+    score = F.array(*[F.round(F.log((F.col(f"n{k}") + 0.5) / F.lit(size[k])) * UNIT).cast("bigint") for k in range(len(langs))])
+    return items.select(item, "total", score.cast("array<bigint>").alias("score"))
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     """Log frequencies by language of words and of their character n-grams, from every row of ``docs``.
 
-    Rows without text or language teach nothing. Counts are gathered over all
-    rows by the tasks and one shuffle; only the ``KEPT_WORDS`` and ``KEPT_GRAMS``
-    most frequent items reach the driver, so the model has a bound of its own.
+    Rows without text or language teach nothing. Counts are gathered by the
+    tasks, added up in a shuffle and kept as tables, whatever their number; only
+    the languages, and sums over each, reach the driver.
     """
     counts = stored(_counted(docs, lang, text), "word_counts")
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())  # the labels
-    place = {name: i for i, name in enumerate(langs)}
-    rows: list[np.ndarray] = []
-
-    def table(items: list, name: str, totals: np.ndarray) -> dict[str, int]:
-        keep = {}
-        for r in items:
-            n = np.zeros(len(langs))
-            for key, value in r["by_lang"].items():
-                if key in place:
-                    n[place[key]] = value
-            keep[r[name]] = len(rows)
-            rows.append(np.log((n + 0.5) / (totals + 0.5 * max(1, len(items)))))
-        return keep
-
-    def totals_of(items: list) -> np.ndarray:
-        t = np.zeros(len(langs))
-        for r in items:
-            for key, value in r["by_lang"].items():
-                if key in place:
-                    t[place[key]] += value
-        return t
-
-    items = _most_frequent(counts, "word", KEPT_WORDS)
-    words = table(items, "word", totals_of(items))
-    grams: list[dict[str, int]] = [{}]
-    gram_counts = stored(_gram_counts(counts), "gram_counts")
-    for size in range(1, LONGEST + 1):
-        items = _most_frequent(gram_counts.filter(F.length("gram") == size), "gram", KEPT_GRAMS)
-        grams.append(table(items, "gram", totals_of(items)))
-    discard(gram_counts)
-    discard(counts)
-    return Model(langs, words, grams, np.array(rows).reshape(len(rows), len(langs)))
-
-
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    return Model(langs, counts, _scores(counts, "word", langs, "words"))
+
+
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, head: int = HEAD) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1: its share among the languages).
 
-    Each whole text is scored by its words: a known word by its log frequency in
-    each language, an unknown one by its longest known character n-grams. Null
-    texts, texts without a letter and every text of an untrained model are
-    ``und`` with score 0. Ties go to the first language by name. Columns named
-    like the new ones are replaced.
+    Each whole text is scored by its words: a word of the training text by its
+    log frequency in each language, any other by its longest known character
+    n-grams. A task adds up the words of a text that are among the ``head`` most
+    frequent ones; the others leave it as counts, are joined to the tables once
+    for each distinct word, and their sums return to the texts. ``keep`` names
+    the columns of the result; without the text, no text is written or moved.
+
+    Null texts, texts without a letter and every text of an untrained model are
+    ``und`` with score 0. Ties go to the first language by name. Repeated rows
+    stay, an empty table gives an empty one. Columns named like the new ones are
+    replaced.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs, at = docs.select(*kept), kept.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by KEPT_WORDS and KEPT_GRAMS
+    kept = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
+    if not model.langs:
+        return docs.select(*[F.col(f"`{c}`") for c in kept], F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(text).alias("text"),
+                       F.monotonically_increasing_id().alias("place"))
+    langs = model.langs
+    words, scores = model.head(max(1, min(head, 40 * HEAD // max(1, len(langs)))))
+    rest_type = ArrayType(StructType([StructField("word", StringType()), StructField("n", LongType())]))
+    schema = StructType([rows.schema["row"], StructField("place", LongType()), StructField("n_words", LongType()),
+                         StructField("sums", ArrayType(LongType())), StructField("rest", rest_type)])
+    pairs = pa.struct([("word", pa.string()), ("n", pa.int64())])
+    shared = docs.sparkSession.sparkContext.broadcast((words, scores))  # bounded by HEAD words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shared.value
+        known, value = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 piece = batch.slice(start, 512)
-                names, scores = [], []
+                n_words, sums, rest = [], np.zeros((piece.num_rows, len(langs)), np.int64), []
                 for i in range(piece.num_rows):
-                    value = piece.column(at)[i].as_py()
-                    e = m.evidence(value) if value and m.langs else None
-                    best = int(np.argmax(e)) if e is not None else -1
-                    names.append("und" if e is None else m.langs[best])
-                    scores.append(0.0 if e is None else float(1 / np.exp(e - e[best]).sum()))
+                    counts = Counter(words_of(piece.column(1)[i].as_py() or ""))
+                    n_words.append(sum(counts.values()))
+                    places = [known.get(w) for w in counts]
+                    have = [k for k in places if k is not None]
+                    if have:
+                        times = np.fromiter((n for n, k in zip(counts.values(), places) if k is not None), np.int64, len(have))
+                        sums[i] = times @ value[have]
+                    rest.append([(w, n) for (w, n), k in zip(counts.items(), places) if k is None])
+                cuts = np.arange(piece.num_rows + 1, dtype=np.int32) * len(langs)
+                ends = np.concatenate([[0], np.cumsum([len(r) for r in rest])]).astype(np.int32)
+                flat = pa.StructArray.from_arrays([pa.array([w for r in rest for w, _ in r], pa.string()), pa.array([n for r in rest for _, n in r], pa.int64())],
+                                                  fields=list(pairs))
                 yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*kept, "lang_pred", "score"])
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+                    [piece.column(0), piece.column(2), pa.array(n_words, pa.int64()), pa.ListArray.from_arrays(cuts, pa.array(sums.ravel())),
+                     pa.ListArray.from_arrays(ends, flat)], names=schema.names)
+
+    read = stored(rows.mapInArrow(run, schema), "languages")
+    rare = read.select("place", F.explode("rest").alias("w")).select("place", "w.word", "w.n")
+    looked = stored(rare.select("word").distinct().join(model.words.select("word", "score"), "word", "left"), "rare_words")
+    unseen = model.of_unseen(looked.filter("score is null").select("word"))
+    found = looked.filter("score is not null").unionByName(unseen)
+    added = rare.join(found, "word").groupBy("place").agg(*[F.sum(F.col("n") * F.col("score")[k]).alias(f"a{k}") for k in range(len(langs))])
+    out = read.select("row", "place", "n_words", "sums").join(added, "place", "left")
+    mean = F.array(*[(F.col("sums")[k] + F.coalesce(f"a{k}", F.lit(0))) / F.col("n_words") / F.lit(float(UNIT)) for k in range(len(langs))]).cast("array<double>")
+    out = out.withColumn("mean", F.when(F.col("n_words") > 0, mean))
+    best = F.array_max("mean")
+    name = F.get(F.array(*map(F.lit, langs)).cast("array<string>"), F.array_position("mean", best).cast("int") - 1)
+    share = F.lit(1.0) / F.aggregate("mean", F.lit(0.0), lambda t, e: t + F.exp(e - best))
+    out = out.select("row", F.coalesce(name, F.lit("und")).alias("lang_pred"), F.coalesce(share, F.lit(0.0)).alias("score"))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in kept], "lang_pred", "score")
 
 
 def fold(doc_id: Column, folds: int) -> Column:

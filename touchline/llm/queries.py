@@ -155,7 +155,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.fold(F.col("doc_id"), 3) == 1)
     model = langid.train(docs.filter(~F.col("held_out")))
-    return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model, keep=["doc_id", "held_out"])
 
 
 @query()

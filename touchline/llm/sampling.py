@@ -10,8 +10,10 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from touchline.llm.common import WORD, stored
 
-# Steps of the selection order: only a step that does not fit whole is ordered row by row.
-STEPS = 1 << 16
+# Steps of the selection order to a factor of e: only a step that does not fit whole is ordered row by row. Whatever the
+# probabilities, a step holds no more than a 16 384th of the documents that share one.
+STEPS = 1 << 12
+_CERTAIN = -(1 << 40)
 
 
 def size_in_words(text: Column) -> Column:
@@ -59,12 +61,39 @@ def _with(rows: DataFrame, per_source: DataFrame) -> DataFrame:
     return rows.join(per_source.withColumnRenamed("source", "p_source"), F.col("m_source").eqNullSafe(F.col("p_source")), "left").drop("p_source")
 
 
+def size_class(size: Column) -> Column:
+    """Documents of one class are equally likely: the binary digits of their number of words."""
+    return F.length(F.bin(size))
+
+
+def levels(classes: DataFrame) -> DataFrame:
+    """``source``, ``level``: what makes the probabilities add up to the words that are missing.
+
+    ``classes`` has the ``words`` of each ``size_class`` of a source and what is
+    ``missing``. A document's inclusion probability is its class times the level
+    and at most 1, so longer documents are likelier, and the expected words are
+    those missing. As for :func:`targets`, the classes that reach 1 come first in
+    order, and running sums over the classes of a source, some dozens, tell them.
+    """
+    by = Window.partitionBy("source").orderBy(F.desc("size_class"))
+    before, rest = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    left = F.col("missing") - F.coalesce(F.sum("words").over(before), F.lit(0))
+    weighed = F.nullif(F.sum(F.col("size_class") * F.col("words")).over(rest), F.lit(0))
+    found = classes.withColumn("level", left / weighed)
+    # after the classes that are certain the quotient only falls
+    return found.filter(F.col("size_class") * F.col("level") < 1).groupBy(F.col("source").alias("l_source")).agg(F.max("level").alias("level"))
+
+
 def _ranked(rows: DataFrame) -> DataFrame:
-    """The Pareto order: ``m_key`` sorts the rows of a source, ``m_step`` is a coarse, monotone form of it."""
-    q = (F.col("m_u") / (1 - F.col("m_u"))) / (F.col("p") / (1 - F.col("p")))
-    rank = F.when(F.col("p") > 0, q / (1 + q)).otherwise(F.lit(1.0))
+    """The Pareto order: ``p`` of each row, ``m_key`` sorts the rows of a source, ``m_step`` is a coarse, monotone form of it.
+
+    The rank is the logarithm of the odds of the uniform number over the odds of p.
+    """
+    rows = rows.withColumn("p", F.least(F.lit(1.0), F.col("level") * size_class(F.col("m_one"))))
+    odds = F.log(F.col("m_u") / (1 - F.col("m_u"))) - F.log(F.col("p") / F.nullif(1 - F.col("p"), F.lit(0.0)))
+    rank = F.when(F.col("p") >= 1, F.lit(float(_CERTAIN))).otherwise(odds)
     return rows.withColumn("m_key", F.struct(rank.alias("rank"), "m_id", "m_tie")).withColumn(
-        "m_step", F.least(F.floor(rank * STEPS), F.lit(STEPS - 1)))
+        "m_step", F.when(F.col("p") >= 1, F.lit(_CERTAIN)).otherwise(F.floor(rank * STEPS)))
 
 
 def _cut(rows: DataFrame, room: str) -> DataFrame:
@@ -75,7 +104,7 @@ def _cut(rows: DataFrame, room: str) -> DataFrame:
     and only the step that does not fit whole is sorted.
     """
     steps = rows.groupBy("m_source", "m_step").agg(F.sum("m_size").alias("words"), F.max(room).alias("room"))
-    upto = Window.partitionBy("m_source").orderBy("m_step").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # STEPS rows at most
+    upto = Window.partitionBy("m_source").orderBy("m_step").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # steps, not documents
     steps = steps.withColumn("upto", F.sum("words").over(upto))
     fits = F.coalesce(F.col("upto") <= F.col("room"), F.lit(True))
     last = stored(steps.groupBy(F.col("m_source").alias("source")).agg(
@@ -97,18 +126,20 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
                text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``.
 
-    Every document of a source is owed target / source_size copies: the whole
-    part is certain, the rest is its inclusion probability p in a fixed-size
-    sample. Pareto order sampling (Rosén 1997) ranks the documents by the odds
-    of a uniform number U, taken from a hash of the id, over the odds of p, and
-    takes the first. The fixed size is in words: documents are taken while they
-    fit what whole copies leave of the target. Where the next one is too long,
-    those of at most half of what is missing follow, in the same order while they
-    fit. That leaves less than half missing, or no such document, and is repeated
-    until there is none; then the one whose size comes nearest to what is missing
-    joins them or takes the place of all that filled the gap, if that meets the
-    target better. So a source misses its target by at most half of the shortest
-    document that the filling leaves.
+    Of every document of a source the whole part of target / source_size copies
+    is certain. The rest is a fixed-size sample with unequal probabilities: a
+    document's is in proportion to its size class, up to 1, and the expected
+    words are those still missing (:func:`levels`). Pareto order sampling (Rosén
+    1997) ranks the documents by the odds of a uniform number U, taken from a
+    hash of id and text, over the odds of p, and takes the first. The fixed size is in
+    words: documents are taken while they fit what whole copies leave of the
+    target. Where the next one is too long, those of at most half of what is
+    missing follow, in the same order while they fit. That leaves less than half
+    missing, or no such document, and is repeated until there is none; then the
+    one whose size comes nearest to what is missing joins them or takes the place
+    of all that filled the gap, if that meets the target better. So a source
+    misses its target by at most half of the shortest document that the filling
+    leaves.
 
     Null texts have size 0 and are drawn like others; null sources are a source
     of their own; a source without words or weight gives no copies. Rows with
@@ -116,32 +147,38 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     Columns of ``docs`` with the names of the new ones are replaced. Reruns
     agree, as nothing but ids, texts and sizes decides. A hot source is not
     gathered: words are summed by step of the order, and only the one step in
-    which a source reaches its target or fills a gap is sorted row by row. No text is shuffled.
+    which a source reaches its target or fills a gap is sorted row by row; a
+    source that needs no sample is not ranked at all. No text is shuffled.
     """
-    u = (F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    drawn = F.xxhash64(F.col(doc_id), F.xxhash64(F.col(text)), F.lit(seed))
+    u = (F.shiftrightunsigned(drawn, 11).cast("double") + 0.5) / F.lit(float(1 << 53))
     kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     d = docs.select(
-        F.struct(*kept).alias("m_row"), size_in_words(F.col(text)).alias("m_size"), F.col(source).cast("string").alias("m_source"),
+        F.struct(*kept).alias("m_row"), size_in_words(F.col(text)).alias("m_one"), F.col(source).cast("string").alias("m_source"),
         u.alias("m_u"), F.col(doc_id).alias("m_id"), F.xxhash64(F.col(text), F.lit(seed)).alias("m_tie"))
-    slim = stored(d.groupBy("m_source", "m_u", "m_id", "m_tie").agg(F.sum("m_size").alias("m_size")), "sizes")
+    slim = stored(d.groupBy("m_source", "m_u", "m_id", "m_tie").agg(F.sum("m_one").alias("m_size"), F.max("m_one").alias("m_one")), "sizes")  # equal rows together
     goal = targets(slim.groupBy(F.col("m_source").alias("source")).agg(F.sum("m_size").alias("source_size")), weights, share, most)
     ratio = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    goal = goal.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
+    goal = goal.withColumn("whole", F.floor(ratio))
     goal = stored(goal.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
+    by_class = slim.groupBy("m_source", size_class(F.col("m_one")).alias("size_class")).agg(F.sum("m_size").alias("words"))
+    by_class = _with(by_class, _per_source(goal)).withColumnRenamed("m_source", "source")
+    goal = goal.join(levels(by_class.filter("missing > 0")), F.col("source").eqNullSafe(F.col("l_source")), "left").drop("l_source")
+    goal = stored(goal.withColumn("level", F.coalesce("level", F.lit(0.0))), "levels")
 
-    first = _cut(_ranked(_with(slim, _per_source(goal))), "missing")
+    first = _cut(_ranked(_with(slim, _per_source(goal.filter("level > 0"))).filter("level > 0")), "missing")
     plan = goal.join(first.withColumnRenamed("source", "c_source"), F.col("source").eqNullSafe(F.col("c_source")), "left")
     gap = F.when(F.col("step").isNull(), F.lit(0.0)).otherwise(F.col("missing") - F.col("taken"))
-    plan = stored(plan.select("source", "source_size", "target", "whole", "p", "step", "cut", gap.alias("gap"), gap.alias("left"),
+    plan = stored(plan.select("source", "source_size", "target", "whole", "level", "step", "cut", gap.alias("gap"), gap.alias("left"),
                               F.array().cast(ArrayType(_fill_type(first))).alias("fills")), "cuts")
 
-    chosen = F.when(F.col("step").isNull(), F.col("p") > 0).otherwise(
+    chosen = F.when(F.col("step").isNull(), F.col("level") > 0).otherwise(
         (F.col("m_step") < F.col("step")) | F.coalesce(F.col("m_key") <= F.col("cut"), F.lit(False)))
-    filler = F.exists("fills", lambda f: (F.col("m_size") > 0) & (2 * F.col("m_size") <= f["room"]) & (
+    filler = F.exists("fills", lambda f: (F.col("m_one") > 0) & (2 * F.col("m_one") <= f["room"]) & (
         f["step"].isNull() | (F.col("m_step") < f["step"]) | F.coalesce(F.col("m_key") <= f["cut"], F.lit(False))))
     while True:
-        short = _ranked(_with(slim, _per_source(plan.filter((F.col("left") > 0) & (F.col("p") > 0))))).filter("left is not null")
-        short = short.filter(~chosen & ~filler & (F.col("m_size") > 0) & (2 * F.col("m_size") <= F.col("left")))
+        short = _ranked(_with(slim, _per_source(plan.filter((F.col("left") > 0) & (F.col("level") > 0)))).filter("left is not null"))
+        short = short.filter(~chosen & ~filler & (F.col("m_one") > 0) & (2 * F.col("m_one") <= F.col("left")))
         fill = _cut(short.select("m_source", "m_step", "m_key", "m_size", "left"), "left")
         if not fill.count():
             break
@@ -149,11 +186,11 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
         plan = plan.join(fill, F.col("source").eqNullSafe(F.col("f_source")) & F.col("f_taken").isNotNull(), "left")
         more = F.array(F.struct(F.col("left").alias("room"), F.col("f_step").alias("step"), F.col("f_cut").alias("cut")))
         plan = stored(plan.select(
-            "source", "source_size", "target", "whole", "p", "step", "cut", "gap", (F.col("left") - F.coalesce("f_taken", F.lit(0))).alias("left"),
+            "source", "source_size", "target", "whole", "level", "step", "cut", "gap", (F.col("left") - F.coalesce("f_taken", F.lit(0))).alias("left"),
             F.when(F.col("f_taken").isNull(), F.col("fills")).otherwise(F.concat("fills", more)).alias("fills")), "fills")
 
     # the last document joins those that filled the gap, or takes their place if it meets the target better
-    rest = _ranked(_with(slim, _per_source(plan))).filter((F.col("p") > 0) & ~chosen)
+    rest = _ranked(_with(slim, _per_source(plan)).filter("level > 0")).filter(~chosen)
     rest = rest.withColumn("way", F.explode(F.array(
         F.struct(F.lit(False).alias("alone"), F.when(~filler, F.abs(F.col("m_size") - F.col("left"))).alias("off")),
         F.struct(F.lit(True).alias("alone"), F.abs(F.col("m_size") - F.col("gap")).alias("off")))))
@@ -164,5 +201,5 @@ def pareto_mix(docs: DataFrame, weights: DataFrame, share: float = 1.5, most: fl
     taken = chosen | (filler & ~F.coalesce("close.alone", F.lit(False))) | F.coalesce(F.col("m_key") == F.col("close.key"), F.lit(False))
 
     out = _ranked(_with(d, _per_source(plan)))
-    extra = (F.col("p") > 0) & taken
-    return out.select("m_row.*", F.col("m_size").alias("size"), "source_size", "target", (F.col("whole") + extra.cast("bigint")).alias("copies"))
+    extra = (F.col("level") > 0) & taken
+    return out.select("m_row.*", F.col("m_one").alias("size"), "source_size", "target", (F.col("whole") + extra.cast("bigint")).alias("copies"))
