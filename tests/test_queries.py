@@ -4,6 +4,7 @@ import __spark_entry__ as entry
 import pytest
 from compare import difference
 from pyspark.sql import DataFrame
+from touchline import constants as C
 from touchline.catalog import QUERIES as OWN
 
 QUERIES = {name: run for name, run in entry.queries().items() if name in OWN}
@@ -18,11 +19,47 @@ def test_equals_sql(name, spark, sf, con):
     assert difference(df, con, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+# Two hundred trees of each kind take minutes each: here these queries run with a few.
+SLOW = {"compared_models", "temporal_predictions", "temporal_evaluation_mix", "market_value_models", "cross_validation"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
 def test_runs(name, spark, sf):
     assert QUERIES[name](spark, sf).count() > 0
 
 
+@pytest.fixture
+def few_trees(monkeypatch):
+    from touchline.operators import models
+
+    boosted, kinds = models.boosted_trees, models.candidates_for_comparison
+    monkeypatch.setattr(models, "boosted_trees", lambda spark, trees=4, depth=3, rate=0.1: boosted(spark, 4, min(depth, 3), rate))
+    monkeypatch.setattr(models, "candidates_for_comparison", lambda spark: kinds(spark, trees=4, depth=4, boosted_depth=3))
+
+
+@pytest.mark.parametrize("name", ["compared_models", "market_value_models"])
+def test_comparisons_mark_the_smallest_error(name, spark, sf, few_trees):
+    rows = QUERIES[name](spark, sf).collect()
+    assert {r["model"] for r in rows} == {"linear_regression", "random_forest", "gradient_boosting"}
+    assert len({r["n_test"] for r in rows}) == 1 and all(r["r2"] <= 1 and r["mae"] >= 0 for r in rows)
+    assert [r["model"] for r in rows if r["best"]] == [min(rows, key=lambda r: r["mae"])["model"]]
+
+
+def test_the_winner_predicts_every_period(spark, sf, few_trees):
+    periods = QUERIES["temporal_features"](spark, sf)
+    rows = QUERIES["temporal_predictions"](spark, sf).collect()
+    assert 0 < len(rows) <= periods.count()
+    assert all(r["predicted_value"] >= -1 and r["residual"] == pytest.approx(r["actual_value"] - r["predicted_value"], abs=1) for r in rows)
+    mix = QUERIES["temporal_evaluation_mix"](spark, sf).collect()
+    assert sum(r["nb_joueurs"] for r in mix) == len(rows)
+    assert all(r["pct_sous_evalues"] + r["pct_bien_evalues"] + r["pct_surevalues"] == pytest.approx(100, abs=0.2) for r in mix)
+
+
+def test_five_folds(spark, sf, few_trees):
+    row = QUERIES["cross_validation"](spark, sf).first()
+    assert row["folds"] == 5 and row["r2_mean"] <= 1 and row["r2_std"] >= 0 and row["stable"] == (row["r2_std"] < C.STABLE_CV_STD)
+
+
 def test_entry(spark):
     out = entry.entry(spark)
     assert isinstance(out, DataFrame) and out.count() > 0
