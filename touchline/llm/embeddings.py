@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +19,10 @@ LONGEST = 64
 ROUNDS = 4  # of neighbours-of-neighbours joins in one pass, fewer once lists settle
 BLOCK = 256  # vectors next to each other in a projection order that are compared
 NEAR = 44  # differing bits of 128 up to which a pair is measured exactly; at a cosine of 0.95 they number 13 +- 3.4
-PART = 1024  # members of a component that are compared at once
+CROWDED = 30  # a list of LONGEST neighbours no further than this may lack some that link
+PART_BYTES = 8 << 20  # vectors of a component that are compared at once
+BALL = 1024  # vectors with full lists that are handled as one ball
+CENTRES = 4096  # balls that all others are held against at once
 AUDIT = 1024  # vectors whose links are counted by brute force
 WANTED, LEAST, PASSES = 0.99, 0.9, 4
 
@@ -183,7 +187,8 @@ def _counted(members: DataFrame, threshold: float, width: int) -> DataFrame:
     and only counted.
     """
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    m = members.join(sizes, "component").withColumn("parts", F.ceil(F.col("size") / PART).cast("int"))
+    part = max(256, PART_BYTES // (8 * width))
+    m = members.join(sizes, "component").withColumn("parts", F.ceil(F.col("size") / part).cast("int"))
     mine = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
         F.least(p, mine).alias("p"), F.greatest(p, mine).alias("q"), mine.alias("part")))
@@ -199,8 +204,8 @@ def _counted(members: DataFrame, threshold: float, width: int) -> DataFrame:
             cuts = np.flatnonzero((c[1:] != c[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1
             for a, b in zip(np.append(0, cuts), np.append(cuts, len(ids))):
                 left, right = a + np.flatnonzero(part[a:b] == p[a]), a + np.flatnonzero(part[a:b] == q[a])
-                for i in range(0, len(left), PART):
-                    some = left[i:i + PART]
+                for i in range(0, len(left), 1024):
+                    some = left[i:i + 1024]
                     near = x[some] @ x[right].T >= threshold
                     near &= ids[some][:, None] != ids[right][None]
                     total[some] += near @ n[right]
@@ -248,6 +253,131 @@ def _audit(points: DataFrame, found: DataFrame, threshold: float, width: int) ->
     return sum(min(r["links"], true[r["id"]]) for r in sample) / all_links if all_links else 1.0
 
 
+BALLS = "ball bigint, label bigint, centre binary, radius double, component binary, x binary"
+
+
+def _balls(full: DataFrame, width: int) -> DataFrame:
+    """Vectors with full lists (``component``, ``x``) in balls of ``BALL`` that lie together, of one component if it has as many.
+
+    ``label`` is the component of all members, null if they differ.
+    """
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = _planes(width, 24, 99)
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(_bits(_matrix(batch.column(1), width) @ planes > 0))], names=["component", "x", "code"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number = pa.table({"component": pa.array([], pa.int64()), "x": pa.array([], pa.binary())}), TaskContext.get().partitionId() << 32
+
+        def ball(t: pa.Table) -> pa.RecordBatch:
+            nonlocal number
+            component, x = t.column("component").to_numpy(), _matrix(t.column("x"), width)
+            centre = x.mean(axis=0)
+            centre /= np.sqrt(centre @ centre) or 1.0
+            radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+            number += 1
+            return pa.RecordBatch.from_pydict({
+                "ball": pa.array([number], pa.int64()), "label": pa.array([int(component[0]) if (component == component[0]).all() else None], pa.int64()),
+                "centre": pa.array([centre.tobytes()], pa.binary()), "radius": pa.array([radius]),
+                "component": pa.array([component.astype(np.int64).tobytes()], pa.binary()), "x": pa.array([x.tobytes()], pa.binary())})
+
+        for batch in batches:
+            held = pa.concat_tables([held, pa.Table.from_batches([batch.select(["component", "x"])])])
+            while held.num_rows >= 2 * BALL:
+                c = held.column("component").to_numpy()[:BALL]
+                change = np.flatnonzero(c[1:] != c[:-1]) + 1  # a ball ends with its component if half of it is full
+                cut = int(change[change >= BALL // 2][-1]) if (change >= BALL // 2).any() else BALL
+                yield ball(held.slice(0, cut))
+                held = held.slice(cut)
+        for i in range(0, held.num_rows, BALL):
+            yield ball(held.slice(i, BALL))
+
+    order = ["component", "code"]
+    coded = full.select("component", "x").mapInArrow(code, "component bigint, x binary, code bigint")
+    return coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(pack, BALLS)
+
+
+def _ball_pairs(balls: DataFrame, width: int, threshold: float) -> DataFrame:
+    """``p``, ``q``, ``gap``: pairs of balls that may hold a link across components, by centres and radii.
+
+    The centres are sent round ``CENTRES`` at a time.
+    """
+    slim = balls.select("ball", "label", "centre", "radius")
+    numbers = sorted(r["ball"] for r in slim.select("ball").collect())  # a ball stands for BALL vectors with full lists
+    angle = float(np.arccos(threshold))
+
+    def against(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ball, label, centre, radius = shared.value
+            for batch in batches:
+                if batch.num_rows:
+                    own = pc.fill_null(batch.column(1), -1).to_numpy(zero_copy_only=False)
+                    between = np.arccos(np.clip(_matrix(batch.column(2), width) @ centre.T, -1, 1))
+                    gap = between - batch.column(3).to_numpy()[:, None] - radius[None]
+                    apart = (own[:, None] != label) | (own[:, None] < 0)
+                    i, j = np.nonzero((gap <= angle + 1e-6) & (batch.column(0).to_numpy()[:, None] <= ball) & apart)
+                    yield pa.RecordBatch.from_pydict({"p": batch.column(0).take(pa.array(i)), "q": pa.array(ball[j]), "gap": pa.array(gap[i, j])})
+        return run
+
+    out = balls.sparkSession.createDataFrame([], "p bigint, q bigint, gap double")
+    for k in range(0, len(numbers), CENTRES):
+        t = slim.filter(F.col("ball").between(numbers[k], numbers[min(k + CENTRES, len(numbers)) - 1])).toArrow()
+        label = pc.fill_null(t.column("label"), -1).to_numpy()
+        shared = balls.sparkSession.sparkContext.broadcast((t.column("ball").to_numpy(), label, _matrix(t.column("centre"), width), t.column("radius").to_numpy()))
+        out = out.unionByName(slim.mapInArrow(against(shared), "p bigint, q bigint, gap double"))
+    return out
+
+
+def _across(pairs: DataFrame, balls: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Components ``a``, ``b`` linked by members of the two balls of a pair, each once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                a, b = (np.frombuffer(r[k], np.int64) for k in ("cp", "cq"))
+                x, y = (np.frombuffer(r[k], np.float64).reshape(-1, width) for k in ("xp", "xq"))
+                i, j = np.nonzero((x @ y.T >= threshold) & (a[:, None] != b))
+                found = np.unique(np.stack([np.minimum(a[i], b[j]), np.maximum(a[i], b[j])], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    side = lambda k: balls.select(F.col("ball").alias(k), F.col("component").alias(f"c{k}"), F.col("x").alias(f"x{k}"))
+    rows = pairs.select("p", "q").join(side("p"), "p").join(side("q"), "q").select("cp", "cq", "xp", "xq").repartition(min(10_000, max(1, pairs.count())))  # a row is a megabyte
+    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _united(full: DataFrame, groups: DataFrame, width: int, threshold: float) -> DataFrame:
+    """``groups`` (``id``, ``component``) with the components united that vectors with full lists link.
+
+    Two crowds whose members know only their own may be linked where no list
+    tells. The vectors with full lists (``id``, ``x``) are put in balls; pairs of
+    balls that centres and radii cannot rule out are measured, the closest of
+    each pair of components first, until none is left between two of them.
+    Members of one component are compared when its links are counted.
+    """
+    everyone = full.join(groups, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "x")
+    balls = stored(_balls(everyone, width), "balls")
+    left, links, take = stored(_ball_pairs(balls, width, threshold), "ball_pairs"), None, 4
+    labels = balls.select(F.col("ball"), "label")
+    while not left.isEmpty():
+        a, b = (labels.select(F.col("ball").alias(k), F.col("label").alias(f"l{k}")) for k in ("p", "q"))
+        named = left.join(a, "p").join(b, "q").filter("lp is null or lq is null or lp <> lq")
+        mixed = F.col("lp").isNull() | F.col("lq").isNull()
+        near = Window.partitionBy(F.least("lp", "lq"), F.greatest("lp", "lq"), F.when(mixed, F.struct("p", "q"))).orderBy("gap", "p", "q")
+        ranked = stored(named.withColumn("rank", F.row_number().over(near)).select("p", "q", "gap", "rank"), "ranked_pairs")
+        new = _across(ranked.filter(F.col("rank") <= take), balls, width, threshold)
+        links = stored(new if links is None else links.unionByName(new), "crossings")
+        left, take = ranked.filter(F.col("rank") > take).select("p", "q", "gap"), take * 8
+        root = components(links).select(F.col("node").alias("label"), "component")
+        labels = stored(balls.select("ball", "label").join(root, "label", "left").select("ball", F.coalesce("component", "label").alias("label")), "ball_labels")
+    if links is None:
+        return groups
+    root = components(links).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    alone = everyone.select("id", "component").join(groups.select("id"), "id", "left_anti").join(root.select("component"), "component", "left_semi")
+    every = groups.select("id", "component").unionByName(alone.select("id", "component")).join(root, "component", "left")
+    return every.select("id", F.coalesce("root", "component").alias("component"))
+
+
 def _of_width(classes: DataFrame, width: int, threshold: float) -> DataFrame:
     """``id``, ``links``, ``component`` for the distinct vectors of one width that have a link."""
     points = stored(_sketched(classes.filter(F.size("vec") == width), width), "sketches")
@@ -270,13 +400,16 @@ def _of_width(classes: DataFrame, width: int, threshold: float) -> DataFrame:
             before = now
         near = lists.select("a", F.explode("near").alias("e")).select("a", "e.b", "e.d")
         groups = components(_measured(near, points, threshold, width)).withColumnRenamed("node", "id")
+        crowded = lists.filter((F.size("near") >= LONGEST) & (F.element_at("near", -1)["d"] <= CROWDED)).select(F.col("a").alias("id"))
+        if not crowded.isEmpty():
+            groups = stored(_united(points.select("id", "x").join(crowded, "id"), stored(groups, "groups"), width, threshold), "groups")
         members = points.select("id", "n", "x").join(groups, "id")
         found = stored(_counted(members, threshold, width).join(groups, "id"), "links")
         recall = _audit(points, found.select("id", "links"), threshold, width)
         if recall >= WANTED:
             break
     if recall < LEAST:
-        warnings.warn(f"audited recall of embedding links is {recall:.3f}", stacklevel=2)
+        raise RuntimeError(f"audited recall of embedding links is {recall:.3f}")
     return found
 
 
@@ -293,9 +426,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "
     of neighbours' neighbours refine them, and lists whose last neighbour is
     still near are enlarged. Near pairs are measured exactly; the links found
     give components, within which all pairs are measured in blocks and counted,
-    so no link inside a component is missed and no pair is listed. A sample of
-    vectors is compared with all rows; while its recall is below ``WANTED``, up
-    to ``PASSES`` times, new projection orders are added.
+    so no link inside a component is missed and no pair is listed. Where lists
+    are full at their longest, the components are united exactly, by balls of
+    vectors (:func:`_united`). A sample of vectors is compared with all rows;
+    while its recall is below ``WANTED``, up to ``PASSES`` times, new projection
+    orders are added; a recall below ``LEAST`` in the end is an error.
 
     Null, empty and zero vectors and those with null or non-finite components
     link with nothing, as do rows without an id and vectors of different width.
