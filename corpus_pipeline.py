@@ -35,11 +35,11 @@ def _with_text(docs: DataFrame, out: DataFrame, removed: str) -> DataFrame:
     """Rows of ``docs`` with the text of ``out``: lengths anew, documents left without a word gone."""
     changed = F.size(removed) > 0
     out = out.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    out = out.select(changed.alias("packed_changed"), *_unpacked(docs.columns))
-    if "n_chars" in docs.columns:
+    columns = dict(zip(docs.columns, _unpacked(docs.columns)))
+    if "n_chars" in columns:
         n = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("packed_changed"), n).otherwise(F.col("n_chars")))
-    return out.drop("packed_changed")
+        columns["n_chars"] = F.when(changed, n).otherwise(F.col("packed_row").getField("n_chars")).alias("n_chars")
+    return out.select(*columns.values())
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of linked fingerprints the document with the smallest id; documents without an id stay, rows of one id share their fate."""
     groups = simhash.near_duplicates(docs, radius=RADIUS, n=SHINGLE)
     copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(copies, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
