@@ -55,9 +55,10 @@ def write_ranked(df: DataFrame, order: Sequence[Column], path: str, range_rows:
     """
     spark = df.sparkSession
     by = [*order, *[F.col(c).asc_nulls_first() for c in df.columns]]
-    n = max(1, -(-df.count() // range_rows))
+    count = df.count()
+    n = max(1, -(-count // range_rows))
     ranges = df.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("range", F.spark_partition_id())
-    ranges.write.mode("overwrite").partitionBy("range").parquet(f"{path}/rows")
+    ranges.write.mode("overwrite").partitionBy(*(["range"] if count else [])).parquet(f"{path}/rows")  # an empty table keeps its columns
     stored = spark.read.schema(ranges.schema).parquet(f"{path}/rows")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
     counts = stored.groupBy("range").agg(F.count(F.lit(1)).alias("n"))

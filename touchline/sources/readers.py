@@ -38,7 +38,7 @@ def read_raw_feed(spark: SparkSession, path: str, multi_line: bool = True, glob:
     Whatever fields and types a document has are kept. One document per file by
     default; with ``multi_line=False`` one per line, and files are split over tasks.
     """
-    docs = spark.read.options(wholetext=multi_line, recursiveFileLookup=True, pathGlobFilter=glob).text(path)
+    docs = spark.read.options(recursiveFileLookup=True, pathGlobFilter=glob).text(path, wholetext=multi_line)
     docs = docs.filter(F.trim("value") != "").select(file_path().alias("path"), F.try_parse_json("value").alias("doc"), "value")
     return docs.select("path", "doc", F.when(F.col("doc").isNull(), F.col("value")).alias("text"))
 
