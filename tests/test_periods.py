@@ -93,7 +93,7 @@ def test_overlapping_periods(spark, periods_, played, bin_days):
     assert Counter(map(tuple, got.collect())) == Counter(want)
 
 
-@SLOW
+@settings(SLOW, max_examples=4)
 @given(rows, rows)
 def test_both_joins_agree_on_disjoint_periods(spark, values, played):
     points = spark.createDataFrame([(k, day(d), g) for k, d, g in played], "player_id int, date date, goals int")
@@ -103,10 +103,10 @@ def test_both_joins_agree_on_disjoint_periods(spark, values, played):
     assert Counter(map(tuple, a.select(*b.columns).collect())) == Counter(map(tuple, b.collect()))
 
 
-@pytest.mark.parametrize("ordered", [1, 10, 1000])
+@pytest.mark.parametrize("ordered", [5, 1000])
 def test_quantiles_in_rounds(spark, ordered):
     rng = np.random.default_rng(3)
-    for values in (rng.normal(size=30_000), rng.lognormal(10, 4, 20_001), np.repeat(rng.normal(size=40), 500), rng.integers(0, 5000, 25_000).astype(float)):
+    for values in (rng.lognormal(10, 4, 20_001), rng.integers(0, 5000, 25_000).astype(float)):
         df = spark.createDataFrame([(float(v),) for v in values], "v double")
         asked = {"low": 0.0, "q01": 0.01, "q25": 0.25, "q50": 0.5, "q999": 0.999, "high": 1.0}
         # a coarse enclosure, so that several rounds are needed
