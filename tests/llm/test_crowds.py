@@ -42,13 +42,13 @@ def test_two_crowds_linked_only_across(spark):
 
 
 def test_many_crowds_in_a_chain(spark, monkeypatch):
-    """Twelve crowds around an arc, each near enough to the next for some links only; balls smaller than a crowd."""
+    """Six crowds around an arc, each near enough to the next for some links only; balls smaller than a crowd."""
     monkeypatch.setattr(embeddings, "BALL", 32)
     monkeypatch.setattr(embeddings, "CENTRES", 7)
     rng = np.random.default_rng(6)
     e = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
     step = np.arccos(0.948)
-    x = np.concatenate([crowd(rng, np.cos(k * step) * e[0] + np.sin(k * step) * e[1], 150, 0.004) for k in range(12)])
+    x = np.concatenate([crowd(rng, np.cos(k * step) * e[0] + np.sin(k * step) * e[1], 150, 0.004) for k in range(6)])
     links, label = expected(x)
     got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(frame(spark, x)).collect()}
     assert got == {i: (int(links[i]), int(label[i])) for i in range(len(x))}

@@ -60,7 +60,7 @@ def close(got, want):
     assert got[0] == want[0] and got[1] == pytest.approx(want[1], abs=1e-4)
 
 
-@pytest.mark.parametrize("head", [1, 20, 100_000])
+@pytest.mark.parametrize("head", [20, 100_000])
 def test_equals_plain_version(spark, head):
     rng = random.Random(head)
     parts = {"de": ["ein", "sch", "keit", "ü", "ver"], "en": ["the", "ing", "tion", "wh"], "fr": ["eau", "é", "que", "tion"], "zh": ["你", "好", "们"]}

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.memory import lean
 from touchline.session import ensure_checkpoint_dir
 
 # Words of all text operators: runs of anything but ASCII white space.
@@ -100,5 +101,5 @@ def _forest(pairs: DataFrame) -> DataFrame:
                 parent.clear()
         yield out()
 
-    return pairs.select(F.col("u").cast("bigint"), F.col("v").cast("bigint")).mapInArrow(stars, "u bigint, v bigint")
+    return pairs.select(F.col("u").cast("bigint"), F.col("v").cast("bigint")).mapInArrow(lean(stars), "u bigint, v bigint")
 

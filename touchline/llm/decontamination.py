@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.fmindex import FMIndex
+from touchline.llm.memory import lean
 from touchline.llm.words import ALNUM, Words, cut_words, find_words, flagged_spans, run_hashes, slices, span_column, word_hashes
 
 # Text of benchmark items that is broadcast at once; a larger benchmark is searched block after block.
@@ -139,7 +140,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text:
     n_blocks = max(1, -(-size // BLOCK_BYTES))
     out = docs.withColumns({"n_words": F.lit(0).cast("bigint"), "hits": F.array().cast(SPANS), "items": F.array().cast("array<string>")})
     for block in range(n_blocks):
-        rows = items.filter(F.pmod(F.xxhash64("name"), F.lit(n_blocks)) == block).collect()  # BLOCK_BYTES on average
+        rows = items.filter(F.pmod(F.xxhash64("name", "text"), F.lit(n_blocks)) == block).collect()  # BLOCK_BYTES on average
         shared = spark.sparkContext.broadcast(phrases_of([r["name"] for r in rows], [r["text"] for r in rows], n))
         out = out.mapInArrow(_search(shared, at, len(kept), cut and block == n_blocks - 1), schema)
     return out
@@ -162,4 +163,4 @@ def _search(shared, at: int, width: int, cut: bool):
                     columns[at] = pa.array(cut_words(w, spans, piece.column(at)), piece.column(at).type)
                 columns += [pa.array(np.diff(w.first), pa.int64()), span_column(spans), pa.array(names, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, names=piece.schema.names)
-    return run
+    return lean(run)

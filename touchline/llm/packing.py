@@ -11,10 +11,11 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from touchline.llm.memory import lean
 from touchline.llm.words import slices, text_bytes
 from touchline.session import ensure_checkpoint_dir
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def pack_planes(*arrays: np.ndarray) -> bytes:
@@ -75,7 +76,7 @@ def to_blocks(docs: DataFrame, text: str, name: str, block_bytes: int = BLOCK_BY
         if held:
             yield block()
 
-    packed = docs.mapInArrow(run, "block bigint, n_bytes bigint, payload binary")
+    packed = docs.mapInArrow(lean(run), "block bigint, n_bytes bigint, payload binary")
     path = f"{ensure_checkpoint_dir(spark)}/touchline/{name}-{uuid.uuid4().hex}"
     label = f"{name}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -98,4 +99,4 @@ def per_block(run: Callable[[dict], Iterator[pa.RecordBatch]]) -> Callable:
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from run({n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)})
-    return over
+    return lean(over)

@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
+from touchline.llm.common import stored
+from touchline.llm.memory import lean
 from touchline.llm.words import NOT_SPACE, find_words, slices, word_hashes
 
 # Labelled rows the field is fitted on: those with the smallest hash of their id, and of these the texts up to so many bytes.
 TRAINING_ROWS = 3000
 TRAINING_BYTES = 1 << 18
+TRAINING_LINES = 200_000  # of all of them, some 60 MB of features
 # Lines of a training chain; a longer text is fitted in several.
 CHAIN = 64
 
@@ -60,7 +63,7 @@ def lines_of(column: pa.Array) -> Lines:
     n, size = len(line.start), line.end - line.start
     inside = NOT_BREAK[line.buf]
     of_byte = np.repeat(np.arange(n) * (len(CLASSES) + 1), size) + CLASS_OF[line.buf[inside]]
-    shares = np.bincount(of_byte, minlength=n * (len(CLASSES) + 1)).reshape(n, -1)[:, 1:] / np.maximum(size, 1)[:, None]
+    shares = np.bincount(of_byte, minlength=n * (len(CLASSES) + 1)).reshape(n, len(CLASSES) + 1)[:, 1:] / np.maximum(size, 1)[:, None]
     w = find_words(column, NOT_SPACE)
     h = word_hashes(w)
     of_word = np.searchsorted(line.start, w.start, "right") - 1
@@ -159,29 +162,40 @@ def fit(chains: list[tuple[np.ndarray, int]], rounds: int = 150, rate: float = 0
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality",
-          rows: int = TRAINING_ROWS) -> Field:
-    """A field fitted on at most ``rows`` labelled documents of ``docs``, those whose ids have the smallest hash.
+          rows: int = TRAINING_ROWS, lines: int = TRAINING_LINES) -> Field:
+    """A field fitted on at most ``rows`` labelled documents of ``docs`` with ``lines`` lines together, those whose ids have the smallest hash.
 
     ``labels`` has ``doc_id`` and ``label`` (1 good, 0 bad); of several labels of
     one id the smallest counts, null labels and ids are skipped. The choice is
     made on ids alone, so only the texts chosen are read on; the tasks turn them
-    into line features, and those reach the driver.
+    into line features. Of several texts of one id one counts, the same at every
+    run. Documents are taken in the order of their hash until the next one would
+    exceed ``lines``; only then their features reach the driver.
     """
     known = labels.select(F.col(doc_id).alias("l_id"), F.col(label).cast("int").alias("label")).filter("l_id is not null and label in (0, 1)")
     known = known.groupBy("l_id").agg(F.min("label").alias("label"))
     ids = docs.select(F.col(doc_id).alias("l_id")).distinct()
     chosen = known.join(ids, "l_id", "left_semi").orderBy(F.xxhash64("l_id"), "l_id").limit(rows)
     sample = docs.select(F.col(doc_id).alias("l_id"), F.col(text).alias("text")).filter(F.octet_length("text") <= TRAINING_BYTES)
-    sample = sample.join(F.broadcast(chosen), "l_id").select("text", F.col("label").cast("bigint").alias("label"))
+    sample = sample.join(F.broadcast(chosen), "l_id").select("text", F.col("label").cast("bigint").alias("label"), F.xxhash64("l_id", "l_id").alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = lines_of(batch.column(0))
-            x = lines.all().astype(np.float32)
+            found = lines_of(batch.column(0))
+            x = found.all().astype(np.float32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[a:b].tobytes() for a, b in zip(lines.first[:-1], lines.first[1:])], pa.binary()), batch.column(1)], names=["x", "label"])
-
-    found = sample.mapInArrow(run, StructType([StructField("x", BinaryType()), StructField("label", LongType())])).collect()
+                [pa.array([x[a:b].tobytes() for a, b in zip(found.first[:-1], found.first[1:])], pa.binary()), batch.column(1), batch.column(2)],
+                names=["x", "label", "key"])
+
+    schema = StructType([StructField("x", BinaryType()), StructField("label", LongType()), StructField("key", LongType())])
+    one = stored(sample.mapInArrow(lean(run), schema).groupBy("key").agg(F.min("x").alias("x"), F.min("label").alias("label")), "training")
+    room, last = lines, None
+    for r in one.select("key", (F.length("x") / (4 * FEATURES)).cast("bigint").alias("n")).orderBy("key").collect():  # two numbers for each of ``rows``
+        room -= r["n"]
+        if room < 0:
+            break
+        last = r["key"]
+    found = one.filter(F.col("key") <= last).collect() if last is not None else []
     found = sorted((bytes(r["x"]), r["label"]) for r in found)  # the sum of gradients must not depend on task order
     return fit([(np.frombuffer(x, np.float32).reshape(-1, FEATURES).astype(float), y) for x, y in found])
 
@@ -210,4 +224,4 @@ def score(docs: DataFrame, field: Field, text: str = "text", name: str = "score"
                 quality = np.where(weight > 0, np.clip(total / np.maximum(weight, 1), 0, 1), f.prior)
                 yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(quality, pa.float64())], names=[*kept, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from touchline.llm.common import components, stored
+from touchline.llm.memory import lean
 from touchline.llm.words import Words, find_words, slices
 
 BITS = 64
@@ -79,7 +80,7 @@ def with_fingerprint(docs: DataFrame, n: int = 4, seed: int = 42, lower: bool =
                 f = fingerprints_of(find_words(piece.column(at), lower=lower), n, seed)
                 yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(f.view(np.int64))], names=[*kept, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def band_keys(f, radius: int):
@@ -209,7 +210,7 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, key_part: int = KEY_PA
             yield out(pa.Table.from_batches(held))
 
     dealt = keyed.repartition("key", "x", "y").sortWithinPartitions("key")
-    return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(lean(compare), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, n: int = 4, seed: int = 42, lower: bool = True,
