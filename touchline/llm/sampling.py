@@ -11,8 +11,8 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from touchline.llm.common import WORD, stored
 
 # Steps of the selection order to a factor of e: only a step that does not fit whole is ordered row by row. Whatever the
-# probabilities, a step holds no more than a 16 384th of the documents that share one.
-STEPS = 1 << 12
+# probabilities, a step holds no more than a 2 048th of the documents that share one, and a source has some thousands.
+STEPS = 1 << 9
 _CERTAIN = -(1 << 40)
 
 
