@@ -47,6 +47,7 @@ SEASON_STATS = {
     "AR": "away_red_cards",
 }
 
+# Fixed values from here on: column names, keys and ranges of the tables users have.
 # Typed columns of the six snapshot tables, in file order.
 SNAPSHOT = {
     "players": {
