@@ -3,6 +3,7 @@
 import pytest
 
 from touchline.catalog import QUERIES
+from touchline.catalog import match_queries as mq
 from touchline.operators import matches as M
 
 
@@ -22,3 +23,7 @@ def test_id_sets_keep_a_missing_id(spark):
     rows = {tuple(r) for r in M.keys_by_side(a, b).collect()}
     assert rows == {("x", True, True), ("y", True, False), (None, True, True), ("z", False, True)}
     assert M.keys_by_side(a, b).count() == 4
+
+
+def test_conflicts_are_found_without_a_broadcast(spark, sf):
+    assert "BroadcastHashJoin [match_id" not in plan_of(M.score_conflicts(mq.unified(spark, sf), mq.season_rows(spark, sf)))
