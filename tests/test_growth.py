@@ -5,6 +5,7 @@ import pytest
 from touchline.catalog import QUERIES
 from touchline.catalog import match_queries as mq
 from touchline.operators import matches as M
+from touchline.operators import quality
 
 
 def plan_of(df):
@@ -27,3 +28,9 @@ def test_id_sets_keep_a_missing_id(spark):
 
 def test_conflicts_are_found_without_a_broadcast(spark, sf):
     assert "BroadcastHashJoin [match_id" not in plan_of(M.score_conflicts(mq.unified(spark, sf), mq.season_rows(spark, sf)))
+
+
+def test_rows_in_both_are_found_without_a_broadcast(spark, sf):
+    a, b = mq.feed_rows(spark, sf), mq.season_rows(spark, sf)
+    for df in (M.common_ids(a, b), quality.only_in(b, a, "match_id")):
+        assert "BroadcastHashJoin [match_id" not in plan_of(df)
