@@ -4,6 +4,7 @@ import pytest
 
 from touchline.catalog import QUERIES
 from touchline.catalog import match_queries as mq
+from touchline.catalog import model_queries as modq
 from touchline.operators import matches as M
 from touchline.operators import quality
 
@@ -34,3 +35,11 @@ def test_rows_in_both_are_found_without_a_broadcast(spark, sf):
     a, b = mq.feed_rows(spark, sf), mq.season_rows(spark, sf)
     for df in (M.common_ids(a, b), quality.only_in(b, a, "match_id")):
         assert "BroadcastHashJoin [match_id" not in plan_of(df)
+
+
+def test_orphans_count_periods_without_storing_their_features(spark, sf, monkeypatch):
+    def refuse(spark, sf):
+        raise AssertionError("the features are not needed to count periods")
+
+    monkeypatch.setattr(modq, "stored_temporal", refuse)
+    assert QUERIES["orphans"].run(spark, sf).columns == ["child", "player_id", "n"]
