@@ -1,11 +1,15 @@
 """What keeps a query's memory, shuffle and time in step with its input."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.catalog import QUERIES
+from touchline.catalog import fixtures as fx
 from touchline.catalog import match_queries as mq
 from touchline.catalog import model_queries as modq
+from touchline.catalog import player_queries as pq
 from touchline.operators import matches as M
+from touchline.operators import players as P
 from touchline.operators import quality
 
 
@@ -43,3 +47,19 @@ def test_orphans_count_periods_without_storing_their_features(spark, sf, monkeyp
 
     monkeypatch.setattr(modq, "stored_temporal", refuse)
     assert QUERIES["orphans"].run(spark, sf).columns == ["child", "player_id", "n"]
+
+
+@pytest.mark.parametrize("name", ["youth_stats", "complete_rows"])
+def test_youth_needs_no_join_with_all_games(spark, sf, name):
+    read = QUERIES[name].run(spark, sf).inputFiles()
+    assert any("/fx_appearances-" in f for f in read) and not any("/fx_games-" in f for f in read)
+
+
+def test_games_listed_more_than_once_count_as_often(spark, sf):
+    games, aliases = pq.raw(spark, sf, "games"), mq.aliases(spark, sf)
+    twice = games.unionByName(games.filter("game_id % 3 = 0")).unionByName(games.filter("game_id % 6 = 0"))
+    appearances = pq.raw(spark, sf, "appearances").withColumn("game_id", F.expr("nullif(game_id, 5)"))
+    linked = P.youth_stats(P.link_appearances(appearances, twice, aliases, fx.LINK_SINCE), pq.players(spark, sf))
+    counted = P.youth_stats(P.count_links(appearances, twice, aliases, fx.LINK_SINCE), pq.players(spark, sf))
+    assert counted.dtypes == linked.dtypes and counted.count() == linked.count() > 0
+    assert counted.exceptAll(linked).isEmpty() and linked.exceptAll(counted).isEmpty()
