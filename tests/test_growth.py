@@ -11,6 +11,7 @@ from touchline.catalog import player_queries as pq
 from touchline.operators import matches as M
 from touchline.operators import players as P
 from touchline.operators import quality
+from touchline.sources import records
 
 
 def plan_of(df):
@@ -63,3 +64,23 @@ def test_games_listed_more_than_once_count_as_often(spark, sf):
     counted = P.youth_stats(P.count_links(appearances, twice, aliases, fx.LINK_SINCE), pq.players(spark, sf))
     assert counted.dtypes == linked.dtypes and counted.count() == linked.count() > 0
     assert counted.exceptAll(linked).isEmpty() and linked.exceptAll(counted).isEmpty()
+
+
+def test_csv_without_line_breaks_is_not_shuffled(spark, sf, tmp_path):
+    for n in range(3):
+        spark.range(n * 100, n * 100 + 100).selectExpr("id", "concat('name, \"', id, '\"') AS name").coalesce(1).write.options(
+            header=True, quote='"', escape='"').csv(f"{tmp_path}/{n}.csv")
+    df = records.read_csv_records(spark, str(tmp_path), "*.csv")
+    assert "Exchange hashpartitioning" not in plan_of(df) and df.count() == 300
+    assert {r["name"] for r in df.collect()} == {f'name, "{i}"' for i in range(300)}
+
+
+def test_csv_records_over_stretches(spark, tmp_path, monkeypatch):
+    """Records with line breaks that begin in one stretch and end some stretches later."""
+    monkeypatch.setattr(records, "STRETCH", 4)
+    wanted = [f'{i},"' + "\n".join("xy"[:i % 3] for _ in range(i % 11)) + '"' if i % 4 else f"{i},z" for i in range(200)]
+    (tmp_path / "a.csv").write_text("\n".join(wanted) + "\n")
+    got = records.csv_records(records.read_lines(spark, str(tmp_path))).orderBy("block", "at").collect()
+    assert [r["record"] for r in got] == wanted
+    lines = sum(r.count("\n") + 1 for r in wanted)
+    assert lines > 4 * 100  # many stretches

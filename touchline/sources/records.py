@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.session import cut_lineage
+from touchline.session import kept_in_files
 
 
 def file_path() -> Column:
@@ -17,7 +17,12 @@ def read_lines(spark: SparkSession, root: str, glob: str = "*", line: str = "lin
     """Lines of all files with ``path``, ``block`` (where the piece of the file starts) and ``at`` (order within the piece).
 
     Spark cuts large files into pieces; within one, ``at`` rises by one from line to line.
+    The cuts depend on the cores of the moment unless a number is set: one is
+    set, so that files scanned again, after an executor came or went, are cut alike.
     """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
     lines = spark.read.options(recursiveFileLookup=True, pathGlobFilter=glob, lineSep="\n").text(root)
     return lines.select(
         file_path().alias("path"), F.col("_metadata.file_block_start").alias("block"),
@@ -25,45 +30,49 @@ def read_lines(spark: SparkSession, root: str, glob: str = "*", line: str = "lin
 
 
 PIECE = ["path", "block"]
+# Where quotes are open, lines are put in order by stretches of a piece, so that a task never has to hold a whole piece.
+STRETCH = 20_000
 
 
 def csv_records(lines: DataFrame, quote: str = '"') -> DataFrame:
     """Records of CSV files out of their lines: ``path``, ``block``, ``at`` of the first line, ``record``.
 
     A line break ends a record unless it stands within quotes, that is after an
-    odd number of them (doubled quotes count twice, as they should). Every piece
-    of a file counts its lines with an odd number of quotes; a running parity
-    over the pieces tells in which state each begins. Pieces where no quote is
-    left open, mostly all, give their lines as they are, without a shuffle. In
-    the others lines find their state by a running sum within the piece, and
-    only lines of records with several of them are brought together.
+    odd number of them (doubled quotes count twice, as they should). Every
+    stretch of a piece counts its lines with an odd number of quotes; a running
+    parity over the stretches tells in which state each begins. The stretches
+    with open quotes are written down, one row for each: where there are none,
+    mostly all, lines are records as they are, without a shuffle. In the others
+    lines find their state by a running sum within the stretch, and only lines
+    of records with several of them are brought together.
 
     Quotes must stand only around fields. A quote that is never closed takes the
     rest of its file into one record, as it does in any CSV reader.
     """
     odd = (F.length("line") - F.length(F.replace("line", F.lit(quote), F.lit("")))) % 2 == 1
-    lines = lines.withColumn("odd", odd)
-    pieces = lines.filter("odd").groupBy(*PIECE).agg(F.count(F.lit(1)).alias("n"))
-    every = lines.groupBy(*PIECE).agg(F.count(F.lit(1)).alias("lines"))  # one row for each piece
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = every.join(pieces, PIECE, "left").na.fill(0, ["n"])
-    pieces = pieces.withColumn("inside", F.coalesce(F.sum("n").over(before), F.lit(0)) % 2 == 1)
-    open_ = pieces.filter("n > 0 or inside").select(*PIECE, "inside")
-    plain = lines.join(open_, PIECE, "left_anti").select(*PIECE, "at", F.col("line").alias("record"))
-
-    order = Window.partitionBy(*PIECE).orderBy("at")
-    some = lines.join(open_, PIECE)
+    parts_of = [*PIECE, "stretch"]
+    lines = lines.withColumns({"odd": odd, "stretch": F.floor(F.col("at") / STRETCH)})
+    stretches = lines.groupBy(*parts_of).agg(F.count_if("odd").alias("n"))
+    before = Window.partitionBy("path").orderBy("block", "stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.withColumn("inside", F.coalesce(F.sum("n").over(before), F.lit(0)) % 2 == 1)
+    open_ = kept_in_files(stretches.filter("n > 0 or inside").select(*parts_of, "inside"))
+    if open_.isEmpty():
+        return lines.select(*PIECE, "at", F.col("line").alias("record"))
+    plain = lines.join(open_, parts_of, "left_anti").select(*PIECE, "at", F.col("line").alias("record"))
+
+    order = Window.partitionBy(*parts_of).orderBy("at")
+    some = lines.join(open_, parts_of)
     odds = F.coalesce(F.sum(F.col("odd").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     some = some.withColumn("within", (odds + F.col("inside").cast("int")) % 2 == 1)
     some = some.withColumn("nth", F.sum((~F.col("within")).cast("bigint")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     single = some.filter("not within and not odd").select(*PIECE, "at", F.col("line").alias("record"))
     parts = some.filter("within or odd")
-    # lines before the first record of a piece belong to the last record of the pieces before it
-    last = parts.groupBy(*PIECE).agg(F.max("nth").alias("nth"), F.min("nth").alias("low"))
-    begun = F.last(F.when(F.col("nth") > 0, F.struct("block", "nth")), ignorenulls=True).over(before)
-    carried = last.withColumn("begun", begun).filter("low = 0").select(*PIECE, F.lit(0).cast("bigint").alias("nth"), "begun")
-    parts = parts.join(carried, [*PIECE, "nth"], "left")
-    owner = F.coalesce("begun", F.struct("block", "nth"))
+    # lines before the first record of a stretch belong to the last record of the stretches before it
+    last = parts.groupBy(*parts_of).agg(F.max("nth").alias("nth"), F.min("nth").alias("low"))
+    begun = F.last(F.when(F.col("nth") > 0, F.struct("block", "stretch", "nth")), ignorenulls=True).over(before)
+    carried = last.withColumn("begun", begun).filter("low = 0").select(*parts_of, F.lit(0).cast("bigint").alias("nth"), "begun")
+    parts = parts.join(carried, [*parts_of, "nth"], "left")
+    owner = F.coalesce("begun", F.struct("block", "stretch", "nth"))
     whole = parts.groupBy("path", owner.alias("owner")).agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("lines"))
     joined = whole.select(
         "path", F.col("owner.block").alias("block"), F.col("lines")[0]["at"].alias("at"),
@@ -92,7 +101,7 @@ def _filled(records: DataFrame) -> DataFrame:
 def _first_records(lines: DataFrame) -> DataFrame:
     """``path``, ``at``, ``record``: what each file begins with, one row for each."""
     def first(records: DataFrame) -> DataFrame:
-        return cut_lineage(records.groupBy("path").agg(F.min(F.struct("at", "record")).alias("head")).select("path", "head.*"))
+        return kept_in_files(records.groupBy("path").agg(F.min(F.struct("at", "record")).alias("head")).select("path", "head.*"))
 
     heads = first(_filled(lines.withColumnRenamed("line", "record")))
     broken = F.regexp_count("record", F.lit('"')) % 2 == 1  # the first record goes on in the next line
