@@ -11,7 +11,7 @@ from touchline.catalog import player_queries as pq
 from touchline.operators import matches as M
 from touchline.operators import players as P
 from touchline.operators import quality
-from touchline.sources import records
+from touchline.sources import files, records
 
 
 def plan_of(df):
@@ -84,3 +84,15 @@ def test_csv_records_over_stretches(spark, tmp_path, monkeypatch):
     assert [r["record"] for r in got] == wanted
     lines = sum(r.count("\n") + 1 for r in wanted)
     assert lines > 4 * 100  # many stretches
+
+
+def test_inventory_does_not_shuffle_records(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,"b,c"\n1,2\n3,"4\n5"\n')
+    (tmp_path / "b.csv").write_text("a,b,c\n")
+    (tmp_path / "c.csv").write_text('a,"b\n,c",d\n1,2,3\n')
+    (tmp_path / "empty.csv").write_text("")
+    df = files.csv_inventory(spark, str(tmp_path))
+    assert {(r["path"].rsplit("/", 1)[1], r["records"], r["n_columns"]) for r in df.collect()} == {("a.csv", 2, 2), ("b.csv", 0, 3), ("c.csv", 1, 3)}
+    spark.range(100).selectExpr("id", "'x' AS name").coalesce(1).write.csv(f"{tmp_path}/plain", header=True)
+    plain = files.csv_inventory(spark, f"{tmp_path}/plain")
+    assert "hashpartitioning" not in plan_of(plain) and [tuple(r)[2:4] for r in plain.collect()] == [(100, 2)]

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.session import kept_in_files
 from touchline.sources.readers import read_feed_documents
 from touchline.sources.records import content_marks, csv_records, file_path, read_lines
 
@@ -59,12 +60,16 @@ def csv_inventory(spark: SparkSession, root: str) -> DataFrame:
     does; a large file is counted by many tasks.
     """
     files = listing(spark, root, "*.csv").select("path", "size")
-    records = csv_records(read_lines(spark, root, "*.csv")).filter(~F.col("record").isin("", "\r"))
-    counted = records.groupBy("path").agg((F.count(F.lit(1)) - 1).alias("records"))
-    heads = records.filter("block = 0").groupBy("path").agg(F.min_by("record", "at").alias("head"))
-    quoted = F.regexp_replace("head", r'"(?:[^"]|"")*"', "x")  # a quoted name is one field, whatever is in it
-    heads = heads.select("path", F.size(F.split(quoted, ",", -1)).alias("n_columns"))
-    return files.join(counted, "path").join(heads, "path").select("path", "size", "records", "n_columns", F.lit("csv").alias("type"))
+    lines = read_lines(spark, root, "*.csv", "record")
+    records = csv_records(lines.withColumnRenamed("record", "line")).filter(~F.col("record").isin("", "\r"))
+    first = F.min(F.when(F.col("block") == 0, F.col("at"))).alias("at")
+    counted = kept_in_files(records.groupBy("path").agg((F.count(F.lit(1)) - 1).alias("records"), first))  # one row for each file
+    heads = kept_in_files(lines.select("path", "at", "record").join(counted, ["path", "at"]))  # mostly the first record is one line
+    if not heads.filter(F.regexp_count("record", F.lit('"')) % 2 == 1).isEmpty():
+        heads = records.select("path", "at", "record").join(counted, ["path", "at"])
+    quoted = F.regexp_replace("record", r'"(?:[^"]|"")*"', "x")  # a quoted name is one field, whatever is in it
+    counted = heads.select("path", "records", F.size(F.split(quoted, ",", -1)).alias("n_columns"))
+    return files.join(counted, "path").select("path", "size", "records", "n_columns", F.lit("csv").alias("type"))
 
 
 def json_inventory(spark: SparkSession, root: str) -> DataFrame:
