@@ -9,6 +9,7 @@ from touchline.catalog import match_queries as mq
 from touchline.catalog import model_queries as modq
 from touchline.catalog import player_queries as pq
 from touchline.operators import matches as M
+from touchline.operators import models
 from touchline.operators import players as P
 from touchline.operators import quality
 from touchline.sources import files, records
@@ -96,3 +97,23 @@ def test_inventory_does_not_shuffle_records(spark, tmp_path):
     spark.range(100).selectExpr("id", "'x' AS name").coalesce(1).write.csv(f"{tmp_path}/plain", header=True)
     plain = files.csv_inventory(spark, f"{tmp_path}/plain")
     assert "hashpartitioning" not in plan_of(plain) and [tuple(r)[2:4] for r in plain.collect()] == [(100, 2)]
+
+
+@pytest.mark.parametrize("name", ["projection_scopes", "scored_with", "prediction_gate"])
+def test_what_precedes_the_fit_waits_for_none(spark, sf, monkeypatch, name):
+    def refuse(*_, **__):
+        raise AssertionError("no fitted number is asked for")
+
+    monkeypatch.setattr(modq, "fitted", refuse)
+    assert QUERIES[name].run(spark, sf).count() > 0
+
+
+def test_scoring_agrees_with_the_model_named_for_it(spark, sf):
+    dataset, candidates = pq.dataset(spark, sf), pq.candidates(spark, sf)
+    projection = models.train_projection(dataset, trees=1, min_rows=5)
+    rows = models.prepare_projection(dataset, projection.encoders, projection.features)
+    assert [m[:2] for m in projection.metrics] == models.model_scopes(rows, 5) and len(projection.by_position) > 1
+    odd = candidates.withColumn("position", F.expr("CASE player_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'Sweeper' ELSE position END"))
+    named = odd.select("player_id", models.model_used(sorted(projection.by_position)).alias("m"))
+    scored = models.score_projection(odd, projection).select("player_id", "modele_utilise")
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, named.collect()))
