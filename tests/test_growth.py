@@ -1,8 +1,13 @@
 """What keeps a query's memory, shuffle and time in step with its input."""
 
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
+from touchline import constants as C
 from touchline.catalog import QUERIES
 from touchline.catalog import fixtures as fx
 from touchline.catalog import match_queries as mq
@@ -117,3 +122,20 @@ def test_scoring_agrees_with_the_model_named_for_it(spark, sf):
     named = odd.select("player_id", models.model_used(sorted(projection.by_position)).alias("m"))
     scored = models.score_projection(odd, projection).select("player_id", "modele_utilise")
     assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, named.collect()))
+
+
+def test_folds_are_those_of_the_cross_validator_without_a_last_fit(spark):
+    class Counting(LinearRegression):
+        fits = 0
+
+        def fit(self, dataset, params=None):
+            type(self).fits += 1
+            return super().fit(dataset, params)
+
+    rows = spark.range(400).selectExpr("array(cast(id AS double), cast(id % 7 AS double)) AS a", "cast(id * 3 + id % 5 AS double) AS label")
+    rows = rows.select(array_to_vector("a").alias("features"), "label")
+    evaluator = RegressionEvaluator(labelCol="label", metricName="r2")
+    cv = CrossValidator(estimator=LinearRegression(), estimatorParamMaps=[{}], evaluator=evaluator, numFolds=4, seed=C.SEED).fit(rows)
+    row = models.cross_validate(rows, Counting(), folds=4).first()
+    assert Counting.fits == 4
+    assert row["r2_mean"] == pytest.approx(cv.avgMetrics[0], abs=1e-12) and row["r2_std"] == pytest.approx(cv.stdMetrics[0], abs=1e-12)
