@@ -1,5 +1,7 @@
 """What keeps a query's memory, shuffle and time in step with its input."""
 
+import threading
+
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -139,3 +141,16 @@ def test_folds_are_those_of_the_cross_validator_without_a_last_fit(spark):
     row = models.cross_validate(rows, Counting(), folds=4).first()
     assert Counting.fits == 4
     assert row["r2_mean"] == pytest.approx(cv.avgMetrics[0], abs=1e-12) and row["r2_std"] == pytest.approx(cv.stdMetrics[0], abs=1e-12)
+
+
+def test_kinds_of_model_are_fitted_side_by_side(spark):
+    meet = threading.Barrier(2, timeout=60)
+
+    class Waiting(LinearRegression):
+        def fit(self, dataset, params=None):
+            meet.wait()
+            return super().fit(dataset, params)
+
+    rows = spark.range(200).selectExpr("array(cast(id AS double)) AS a", "ln(1 + id) AS label").select(array_to_vector("a").alias("features"), "label")
+    best, _, table = models.compare_models(rows, {"one": [Waiting()], "two": [Waiting()]})
+    assert best == "one" and table.count() == 2
