@@ -154,3 +154,29 @@ def test_kinds_of_model_are_fitted_side_by_side(spark):
     rows = spark.range(200).selectExpr("array(cast(id AS double)) AS a", "ln(1 + id) AS label").select(array_to_vector("a").alias("features"), "label")
     best, _, table = models.compare_models(rows, {"one": [Waiting()], "two": [Waiting()]})
     assert best == "one" and table.count() == 2
+
+
+def test_boosting_gets_partitions_by_rows_and_the_dataset_is_computed_once(spark, sf, monkeypatch):
+    """Every partition costs two tasks for each level of each tree; what the encoders read is not derived again."""
+    parts, read = [], spark.sparkContext.accumulator(0)
+
+    class Counting(LinearRegression):
+        def fit(self, dataset, params=None):
+            parts.append(dataset.rdd.getNumPartitions())
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(models, "boosted_trees", lambda *_: Counting())
+    dataset = pq.dataset(spark, sf)
+    n = dataset.count()
+
+    def counted(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    spread = spark.createDataFrame(dataset.repartition(16).rdd.mapPartitions(counted), dataset.schema)
+    metrics = models.train_projection(spread, min_rows=5).metrics
+    assert len(metrics) > 2 and parts == [1] * len(metrics)
+    assert read.value == n
+    assert models.dealt_by_size(spark.range(1000), 1000, 300).rdd.getNumPartitions() == 4
+    assert models.dealt_by_size(spark.range(0), 0).rdd.getNumPartitions() == 1
