@@ -20,6 +20,7 @@ from touchline.operators import models
 from touchline.operators import players as P
 from touchline.operators import quality
 from touchline.sources import files, records
+from touchline.streaming import incremental
 
 
 def plan_of(df):
@@ -180,3 +181,21 @@ def test_boosting_gets_partitions_by_rows_and_the_dataset_is_computed_once(spark
     assert read.value == n
     assert models.dealt_by_size(spark.range(1000), 1000, 300).rdd.getNumPartitions() == 4
     assert models.dealt_by_size(spark.range(0), 0).rdd.getNumPartitions() == 1
+
+
+def test_rows_of_touched_seasons_are_moved_once_to_find_the_changes(spark, monkeypatch):
+    def row(file, version, game, match, home, goals, batch, before, after, status="FINISHED"):
+        return (file, version, batch, game, status, match, "api", None, 1, home, "b", goals, 0, "PL", 2001, batch, before, after)
+
+    rows = spark.createDataFrame([
+        row("f", "1", 1, "m1", "a", 2, 0, True, False), row("f", "2", 1, "m1", "a", 0, 1, False, True),  # another score
+        row("f", "1", 2, "m2", "a", 1, 0, True, False),  # withdrawn
+        row("g", "1", 3, "m3", "a", 1, 0, True, True),  # as before
+        row("g", "1", 4, "m4", "c", 1, 0, True, True), row("f", "2", 4, "m4", "c", 1, 1, False, True, "CANCELLED"),  # cancelled by a newer file
+    ], incremental._ROWS + ", before boolean, after boolean")
+    cuts = []
+    monkeypatch.setattr(incremental, "cut_lineage", lambda df: cuts.append(df) or df)
+    changes = incremental.table_changes(rows)
+    assert len(cuts) == 1 and plan_of(cuts[0]).count("Exchange") == 1
+    sums = changes.groupBy("club_name").agg(F.sum("matchs_joues").alias("n"), F.sum("points").alias("p"), F.sum("buts_marques").alias("g"))
+    assert {tuple(r) for r in sums.collect()} == {("a", -1, -5, -3), ("b", -2, 1, 0), ("c", -1, -3, -1)}

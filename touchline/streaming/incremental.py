@@ -27,7 +27,7 @@ from touchline.operators.matches import (
 )
 from touchline.operators.names import normalize_team
 from touchline.schemas import MATCH_FEED
-from touchline.session import cut_lineage
+from touchline.session import cut_lineage, kept_in_files
 from touchline.sources.records import file_path
 from touchline.sources.writers import replace_partitions
 
@@ -64,7 +64,7 @@ def parse_versions(docs: DataFrame, aliases: DataFrame, file_pattern: str = FILE
         F.unix_micros("_metadata.file_modification_time").alias("modified"), "competition", "matches",
         (F.col("_corrupt").isNotNull() | F.col("matches").isNull()).alias("broken"))
     versions = docs.groupBy("file", "version").agg(F.max("modified").alias("modified"), F.bool_or("broken").alias("broken"))
-    versions = versions.filter("not broken").drop("broken")
+    versions = kept_in_files(versions.filter("not broken").drop("broken"))  # one row for each file: read twice, broadcast if small
     whole = docs.drop("modified").join(versions, ["file", "version"])
     flat = flatten_matches(whole, keep=("file", "version", "modified"))
     flat = flat.select(
@@ -82,17 +82,22 @@ def newest_versions(files: DataFrame) -> DataFrame:
     return files.groupBy("file").agg(last).select("file", "last.version")
 
 
-def valid_matches(rows: DataFrame) -> DataFrame:
-    """Matches that count, out of the rows of current versions.
+def newest_listings(rows: DataFrame) -> DataFrame:
+    """Of the rows that counted ``before`` and of those that count ``after``, which say what holds for their game.
 
     A game listed in several files counts as the newest of them says, known by
-    its id within its league season; then finished matches with plausible
-    scores, one row per match id.
+    its id within its league season. Both states are found in one pass.
     """
     game = F.coalesce(F.col("game_id").cast("string"), F.col("match_id"))
-    newest = Window.partitionBy(*KEYS, game).orderBy(F.desc("batch"), F.desc("modified"), F.desc("version"))
-    rows = rows.withColumn("_rank", F.rank().over(newest)).filter("_rank = 1 and status = 'FINISHED'")
-    rows = rows.drop("_rank", "file", "version", "modified", "game_id", "status", "batch")
+    version, listed = F.struct("batch", "modified", "version"), Window.partitionBy(*KEYS, game)
+    newest = {c: F.max(F.when(F.col(c), version)).over(listed) for c in ("before", "after")}
+    rows = rows.withColumns({f"_{c}": n for c, n in newest.items()})
+    return rows.withColumns({c: F.col(c) & version.eqNullSafe(F.col(f"_{c}")) for c in newest}).drop(*[f"_{c}" for c in newest])
+
+
+def valid_matches(listings: DataFrame) -> DataFrame:
+    """Matches that count, out of the newest listings: finished ones with plausible scores, one row per match id."""
+    rows = listings.drop("file", "version", "modified", "game_id", "status", "batch", "before", "after")
     parts = rows.withColumn("match_id", F.struct("competition", "season", "match_id"))
     return unify_matches(parts, rows.sparkSession.createDataFrame([], "source string")).withColumn("match_id", F.col("match_id.match_id"))
 
@@ -104,18 +109,12 @@ def _sums(matches: DataFrame) -> DataFrame:
 def table_changes(rows: DataFrame) -> DataFrame:
     """What each club's sums gain or lose: of ``rows`` those marked ``before`` counted so far, those marked ``after`` count now.
 
-    Only matches that a changed row can touch are weighed: those of the changed
-    rows, and those of games that share a match id with them. These are few, so
-    each step is written down before the next.
+    All rows of the touched league seasons are moved once, to meet those of
+    their game; after that a task sends at most one row of a match. A match no
+    changed row can touch counts alike before and after and adds nothing.
     """
-    key = ["competition", "season", "match_id"]
-    game = F.coalesce(F.col("game_id").cast("string"), F.col("match_id")).alias("game")
-    named = rows.select("*", game)
-    games = cut_lineage(named.filter("before <> after").select(*KEYS, "game").distinct())
-    ids = cut_lineage(named.join(games, [*KEYS, "game"], "left_semi").select(*key).distinct())
-    near = cut_lineage(named.join(ids, key, "left_semi").select(*KEYS, "game").distinct())
-    part = cut_lineage(named.join(near, [*KEYS, "game"], "left_semi").drop("game"))
-    old, new = (valid_matches(part.filter(when).drop("before", "after")).join(ids, key, "left_semi") for when in ("before", "after"))
+    listings = cut_lineage(newest_listings(rows).filter("status = 'FINISHED' and (before or after)"))
+    old, new = (valid_matches(listings.filter(when)) for when in ("before", "after"))
     less = _sums(old).select(*SEASON_KEYS, "club_name", *[(-F.col(c)).alias(c) for c in TABLE_SUMS])
     return _sums(new).unionByName(less)
 
