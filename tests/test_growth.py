@@ -5,7 +5,7 @@ import threading
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
@@ -157,6 +157,46 @@ def test_kinds_of_model_are_fitted_side_by_side(spark):
     assert best == "one" and table.count() == 2
 
 
+def test_deep_forest_gets_few_partitions_and_is_fitted_in_parts(spark, monkeypatch):
+    """Nodes times partitions is what a deep forest costs; the parts together are one forest."""
+    fitted = []
+
+    class Counting(RandomForestRegressor):
+        def _fit(self, dataset):
+            fitted.append((dataset.rdd.getNumPartitions(), self.getNumTrees()))
+            return super()._fit(dataset)
+
+    rows = spark.range(4000).repartition(16).selectExpr("id", "array(cast(id % 61 AS double), cast(id % 97 AS double)) AS a", "ln(1 + id % 61 * 5 + id % 97) AS label")
+    rows = rows.select("id", array_to_vector("a").alias("features"), "label")
+    monkeypatch.setattr(models, "ROWS_PER_FOREST", 10_000, raising=False)
+    _, model, table = models.compare_models(rows, {"random_forest": [Counting(labelCol="label", numTrees=7, maxDepth=6, minInstancesPerNode=5, seed=C.SEED)]})
+    assert sorted(fitted) == [(1, 1), (1, 3), (1, 3)] and table.first()["r2"] > 0.9
+
+    trees = [t for path, _, _ in model.parts for t in RandomForestRegressionModel.load(path).trees]
+    assert len({t.toDebugString.split("\n", 1)[1] for t in trees}) == len(trees) == 7 == sum(n for _, n, _ in model.parts)
+    some = rows.limit(30).collect()
+    got = {r["id"]: r["prediction"] for r in model.transform(rows).filter(F.col("id").isin([r["id"] for r in some])).collect()}
+    for r in some:
+        assert got[r["id"]] == pytest.approx(sum(t.predict(r["features"]) for t in trees) / 7)
+    in_passes = models.PartedForest(model.parts, nodes_per_pass=1).transform(rows)
+    assert in_passes.columns == [*rows.columns, "prediction"] and in_passes.count() == 4000
+    assert in_passes.join(model.transform(rows).select("id", F.col("prediction").alias("p")), "id").filter("prediction <> p").count() == 0
+
+
+def test_boosting_of_the_comparison_gets_partitions_by_rows(spark, monkeypatch):
+    parts = []
+
+    class Counting(GBTRegressor):
+        def _fit(self, dataset):
+            parts.append(dataset.rdd.getNumPartitions())
+            return super()._fit(dataset)
+
+    rows = spark.range(0, 500, 1, 16).selectExpr("array(cast(id AS double)) AS a", "ln(1 + id) AS label").select(array_to_vector("a").alias("features"), "label")
+    models.compare_models(rows, {"boosted": [Counting(labelCol="label", maxIter=2)]})
+    assert parts == [1]
+    assert models.packed(rows, 500, 16, 100).rdd.getNumPartitions() == 5 and models.packed(rows, 500, 16, 10).rdd.getNumPartitions() == 50
+
+
 def test_boosting_gets_partitions_by_rows_and_the_dataset_is_computed_once(spark, sf, monkeypatch):
     """Every partition costs two tasks for each level of each tree; what the encoders read is not derived again."""
     parts, read = [], spark.sparkContext.accumulator(0)
