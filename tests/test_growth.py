@@ -51,6 +51,12 @@ def test_rows_in_both_are_found_without_a_broadcast(spark, sf):
         assert "BroadcastHashJoin [match_id" not in plan_of(df)
 
 
+@pytest.mark.parametrize("name", ["link_coverage", "linked_appearances"])
+def test_games_are_not_broadcast_to_the_appearances(spark, sf, name):
+    plan = plan_of(QUERIES[name].run(spark, sf))
+    assert "BroadcastHashJoin [game_id" not in plan and "SortMergeJoin [game_id" in plan
+
+
 def test_orphans_count_periods_without_storing_their_features(spark, sf, monkeypatch):
     def refuse(spark, sf):
         raise AssertionError("the features are not needed to count periods")
