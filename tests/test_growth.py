@@ -16,7 +16,7 @@ from touchline.catalog import match_queries as mq
 from touchline.catalog import model_queries as modq
 from touchline.catalog import player_queries as pq
 from touchline.operators import matches as M
-from touchline.operators import models
+from touchline.operators import models, periods
 from touchline.operators import players as P
 from touchline.operators import quality
 from touchline.sources import files, records
@@ -57,6 +57,18 @@ def test_games_are_not_broadcast_to_the_appearances(spark, sf, name):
     assert "BroadcastHashJoin [game_id" not in plan and "SortMergeJoin [game_id" in plan
 
 
+def test_overlapping_periods_are_derived_and_moved_once(spark):
+    """No pair of a period and its bins or days is moved, nor is a period joined again to its sums."""
+    day = lambda n: F.date_add(F.lit("2020-01-01").cast("date"), n)
+    rows = spark.range(300).select((F.col("id") % 3).alias("player_id"), day((F.col("id") % 40).cast("int")).alias("t0"), day((F.col("id") % 40 + 90).cast("int")).alias("t1"), "id")
+    points = spark.range(1200).select((F.col("id") % 3).alias("player_id"), day((F.col("id") % 200).cast("int")).alias("date"), F.lit(1).alias("goals"))
+    out = periods.overlap_join(points, rows, {"goals": "g"}, count="n", bin_days=16)
+    assert out.count() == 300 and out.filter("n <> g or n <> 180").count() == 0
+    plan = plan_of(out)
+    assert plan.count("Range (0, 300") == 1 and plan.count("Range (0, 1200") == 1
+    assert plan.count("Exchange") <= 4 and "Generate explode" not in plan
+
+
 def test_orphans_count_periods_without_storing_their_features(spark, sf, monkeypatch):
     def refuse(spark, sf):
         raise AssertionError("the features are not needed to count periods")
